@@ -33,8 +33,8 @@ OP4 = rf"""
 with recursive docs as (select doc_id, coalesce(regexp_extract_all({_LOW.format("text")}, '[^\x20\x09-\x0D]+'), []) as w from documents),
 sh as (select distinct doc_id, array_to_string(w[i : i + 4], ' ') as s from docs, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as t(i) where len(w) > 0),
 sizes as (select doc_id, count(*) as n from sh group by doc_id),
-both as (select a.doc_id as x, b.doc_id as y, count(*) as k from sh a join sh b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2),
-links as (select x, y from both join sizes p on p.doc_id = x join sizes q on q.doc_id = y where 100 * k >= 75 * (p.n + q.n - k)),
+pairs as (select a.doc_id as x, b.doc_id as y, count(*) as k from sh a join sh b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2),
+links as (select x, y from pairs join sizes p on p.doc_id = x join sizes q on q.doc_id = y where 100 * k >= 75 * (p.n + q.n - k)),
 reach as (select doc_id as x, doc_id as y from docs union select reach.x, links.y from reach join links on reach.y = links.x)
 select d.doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, c.component_id, d.doc_id = c.component_id as kept
 from docs d left join sizes using (doc_id) join (select x, min(y) as component_id from reach group by x) c on c.x = d.doc_id
