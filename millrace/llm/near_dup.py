@@ -7,8 +7,7 @@
    signatures estimate the pair's similarity by counting equal fields, corrected for the chance 2^-BITS that different minima
    agree; pairs further than SLACK standard errors below the threshold go.
 4. The others are confirmed on the full sets. Links give components.
-5. Buckets that still span several components hold pairs not yet tried. All of those are tried the same way, but for pairs that
-   the triangle inequality on their distances to the bucket's leader excludes.
+5. Buckets that still span several components are compared in blocks inside a task, which returns links that join components, not pairs.
 
 So the only links that can be lost are pairs no band brings together: (1 - s^ROWS)^BANDS, 2e-5 at s = 0.75 and less above.
 
@@ -32,6 +31,8 @@ from millrace.llm.components import components
 
 BANDS, ROWS, BITS, SLACK = 40, 5, 4, 5.0
 HASHES = BANDS * ROWS
+#: Shingles of a block; bits of the bitmap that thins out texts, at most.
+BLOCK, BITMAP = 1 << 17, 1 << 27
 #: Words whose hashes a worker remembers; beyond it, it starts anew.
 CACHE = 1_000_000
 _rng = np.random.default_rng(20_240_501)
@@ -120,40 +121,54 @@ def estimate(a: Column, b: Column) -> Column:
     return ((1 - different / HASHES) - chance) / (1 - chance)
 
 
-def _confirmer(width: int, percent: int):
+def _hashes(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, held = _Words(), {}
+        words = _Words()
+        for batch in batches:
+            got = [shingles(raw, words, width).tobytes() for raw in byte_texts(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.binary())], names=["id", "hashes"])
+
+    return run
+
 
-        def of(raw: bytes) -> np.ndarray:
-            if raw not in held:
-                if len(held) >= 64:
-                    held.clear()
-                held[raw] = shingles(raw, words, width)
-            return held[raw]
+def _full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(id, hashes) of the wanted ids' texts.
 
+    A bitmap of the wanted ids' hashes, of BITMAP bits at most, first thins out the texts; then a join keeps exactly the wanted.
+    """
+    spark = docs.sparkSession
+    n = max(1 << 12, min(BITMAP, 1 << (32 * max(wanted.count(), 1)).bit_length()))
+    at = F.pmod(F.xxhash64("id"), F.lit(n))
+    words = wanted.select(at.alias("h")).groupBy(F.shiftright("h", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("bits")).toArrow()
+    bits = np.zeros(n // 64, np.int64)
+    bits[np.asarray(words.column("word"))] = np.asarray(words.column("bits"))
+    held = spark.createDataFrame(pa.table({"bits": pa.array([bits], pa.list_(pa.int64()))}))
+    word = F.get(held.scalar(), F.shiftright(at, 6).cast("int"))
+    some = docs.filter(F.getbit(word, (at % 64).cast("int")) == 1)
+    return materialize(some.join(wanted, "id", "left_semi").distinct().mapInArrow(_hashes(width), "id long, hashes binary"), "full-sets")
+
+
+def _confirmer(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            similar = []
-            for x, y in zip(byte_texts(batch.column(2)), byte_texts(batch.column(3)), strict=True):
-                s, t = shingles(x, words, width), of(y)
+            linked = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = len(np.intersect1d(s, t, assume_unique=True))
-                union = len(s) + len(t) - both
-                similar.append(both / union if 100 * both >= percent * union else -both / union)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(similar, pa.float64())], names=["x", "y", "similar"])
+                linked.append(100 * both >= percent * (len(s) + len(t) - both))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     return run
 
 
-def _tried(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(x, y, near, similar): the pairs' estimates, and for those that may be linked their exact similarity, negative if below the threshold."""
+def _stars(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(a, b): the pairs that are linked."""
     sig = nodes.select("id", "packed")
-    est = pairs.join(sig.withColumnsRenamed({"id": "x", "packed": "px"}), "x").join(sig.withColumnsRenamed({"id": "y", "packed": "py"}), "y").select("x", "y", estimate(F.col("px"), F.col("py")).alias("near"))
-    est = materialize(est.groupBy("x", "y").agg(F.max("near").alias("near")), "pairs")
-    likely = est.filter(F.col("near") >= percent / 100 - _slack(percent))
-    wanted = likely.select(F.col("x").alias("id")).unionByName(likely.select(F.col("y").alias("id"))).distinct()
-    texts = materialize(docs.join(wanted, "id", "left_semi").distinct(), "pair-texts")
-    full = likely.join(texts.select(F.col("id").alias("x"), F.col("text").alias("tx")), "x").join(texts.select(F.col("id").alias("y"), F.col("text").alias("ty")), "y").select("x", "y", "tx", "ty")
-    exact = full.mapInArrow(_confirmer(width, percent), "x long, y long, similar double").groupBy("x", "y").agg(F.max("similar").alias("similar"))
-    return materialize(est.join(exact, ["x", "y"], "left"), "tried")
+    est = pairs.join(sig.withColumnsRenamed({"id": "x", "packed": "px"}), "x").join(sig.withColumnsRenamed({"id": "y", "packed": "py"}), "y")
+    likely = materialize(est.filter(estimate(F.col("px"), F.col("py")) >= percent / 100 - _slack(percent)).select("x", "y").distinct(), "pairs")
+    sets = _full_sets(docs, likely.select(F.col("x").alias("id")).unionByName(likely.select(F.col("y").alias("id"))).distinct(), width)
+    full = likely.join(sets.select(F.col("id").alias("x"), F.col("hashes").alias("sx")), "x").join(sets.select(F.col("id").alias("y"), F.col("hashes").alias("sy")), "y")
+    return materialize(full.select("x", "y", "sx", "sy").mapInArrow(_confirmer(percent), "a long, b long").distinct(), "links")
 
 
 def _slack(percent: int) -> float:
@@ -180,37 +195,110 @@ def _classes(docs: DataFrame, width: int, percent: int) -> DataFrame:
     # Rows of one id with different sets: their links count for the id, so the id links the sets' nodes too.
     ids = materialize(named.select("key", "id").join(member, "key").select("id", "node").distinct(), "members")
     first = member.select("key", F.col("node").alias("id"))
-    nodes = materialize(named.join(first, ["key", "id"]).select("key", "id", "bands", "packed").dropDuplicates(["key", "id"]), "nodes")
-    banded = nodes.select("id", F.explode("bands").alias("band")).distinct()
+    nodes = materialize(named.join(first, ["key", "id"]).select("key", "id", "n_shingles", "bands", "packed").dropDuplicates(["key", "id"]), "nodes")
+    banded = nodes.select("id", F.explode("bands").alias("band"))
     leaders = banded.groupBy("band").agg(F.min("id").alias("y"), F.max("id").alias("last")).filter("y < last").drop("last")
-    shared = materialize(banded.join(leaders, "band").select("band", F.col("id").alias("x"), "y"), "buckets")
-    stars = _tried(shared.filter("x <> y").select("x", "y").distinct(), nodes, docs, width, percent)
+    shared = materialize(banded.join(leaders, "band").select("band", F.col("id").alias("x"), "y").distinct(), "buckets")
+    links = _stars(shared.filter("x <> y").select("x", "y").distinct(), nodes, docs, width, percent)
     same = ids.filter("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
-    links = stars.filter("similar > 0").select(F.col("x").alias("a"), F.col("y").alias("b"))
     found = materialize(components(links.unionByName(same)), "components")
-    left = _untried(shared, stars, found, percent)
-    if not left.isEmpty():
-        more = _tried(left, nodes, docs, width, percent).filter("similar > 0").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    more = _rest(shared, nodes, docs, found, width, percent)
+    if not more.isEmpty():
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     out = sets.select("id", "n_shingles").join(found, F.col("id") == F.col("node"), "left")
     component = F.coalesce("component", "id")
     return out.select("id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
 
 
-def _untried(shared: DataFrame, stars: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket and different components that the distances to the bucket's leader don't exclude."""
-    at = F.coalesce("component", "x")
-    far, slack = 1 - percent / 100, _slack(percent)
-    rows = shared.join(found.withColumnRenamed("node", "x"), "x", "left").withColumn("c", at)
+def _rest(shared: DataFrame, nodes: DataFrame, docs: DataFrame, found: DataFrame, width: int, percent: int) -> DataFrame:
+    """(a, b): links between components that meet in a bucket, enough of them to join all components that are linked there.
+
+    A bucket's nodes are dealt to blocks of about BLOCK shingles. A task compares two blocks at a time, signatures first and then, by
+    one matrix product, the sizes of all intersections; a pair of blocks yields fewer links than it has components.
+    """
+    rows = shared.select("band", F.col("x").alias("id")).join(found.select(F.col("node").alias("id"), "component"), "id", "left").select("band", "id", F.coalesce("component", "id").alias("c"))
     spans = rows.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("band")
-    rows = rows.join(spans, "band").join(stars, ["x", "y"], "left")
-    exact = 1 - F.abs("similar")
-    low = F.when(F.col("x") == F.col("y"), 0.0).otherwise(F.coalesce(exact, F.greatest(F.lit(0.0), 1 - F.col("near") - slack)))
-    high = F.when(F.col("x") == F.col("y"), 0.0).otherwise(F.coalesce(exact, F.least(F.lit(1.0), 1 - F.col("near") + slack)))
-    rows = materialize(rows.filter("x <> y").select("band", "x", "c", low.alias("low"), high.alias("high")), "untried")
-    a, b = rows.alias("a"), rows.alias("b")
-    close = (F.col("a.low") - F.col("b.high") <= far) & (F.col("b.low") - F.col("a.high") <= far)
-    return a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.c") < F.col("b.c")) & close).select(F.greatest("a.x", "b.x").alias("x"), F.least("a.x", "b.x").alias("y")).distinct()
+    rows = materialize(rows.join(spans, "band"), "open-buckets")
+    sets = _full_sets(docs, rows.select("id").distinct(), width)
+    full = rows.join(nodes.select("id", "n_shingles", "packed").dropDuplicates(["id"]), "id")
+    blocks = full.groupBy("band").agg(F.ceil(F.sum("n_shingles") / BLOCK).alias("blocks"))
+    full = full.join(sets, "id").join(blocks, "band").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    held = materialize(full.groupBy("band", "block").agg(F.collect_list(F.struct("id", "c", "packed", "hashes")).alias("held")), "blocks")
+    a, b = held.alias("a"), held.alias("b")
+    pairs = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.block") <= F.col("b.block"))).select(F.col("a.held").alias("p"), F.col("b.held").alias("q"))
+    spark = docs.sparkSession
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    try:
+        return materialize(pairs.mapInArrow(_compare(percent), "a long, b long").distinct(), "more-links")
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+
+
+def _compare(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least, chance = percent / 100 - _slack(percent), 2.0**-BITS
+        for batch in batches:
+            a: list[int] = []
+            b: list[int] = []
+            for r in range(batch.num_rows):
+                p, q = ({k: batch.column(i)[r].values.field(k) for k in ("id", "c", "packed", "hashes")} for i in (0, 1))
+                pc, qc = np.asarray(p["c"]), np.asarray(q["c"])
+                ps, qs = (np.asarray(x["packed"].flatten()).view(np.uint64).reshape(len(x["id"]), -1) for x in (p, q))
+                different = np.zeros((len(pc), len(qc)), np.int16)
+                for k in range(ps.shape[1]):
+                    z = ps[:, k, None] ^ qs[None, :, k]
+                    z |= z >> np.uint64(2)
+                    z |= z >> np.uint64(1)
+                    different += np.bitwise_count(z & np.uint64(0x1111111111111111))
+                likely = (((1 - different / HASHES) - chance) / (1 - chance) >= least) & (pc[:, None] != qc[None])
+                i, j = np.flatnonzero(likely.any(1)), np.flatnonzero(likely.any(0))
+                if not len(i):
+                    continue
+                sets = [np.frombuffer(x["hashes"][int(n)].as_py(), np.uint64) for x, at in ((p, i), (q, j)) for n in at]
+                both = _intersections(sets[: len(i)], sets[len(i) :])
+                sizes = np.array([len(s) for s in sets])
+                union = sizes[: len(i), None] + sizes[None, len(i) :] - both
+                x, y = np.nonzero((100 * both >= percent * union) & likely[np.ix_(i, j)])
+                pid, qid = np.asarray(p["id"]), np.asarray(q["id"])
+                joined: dict[int, int] = {}
+                for u, v in zip(i[x].tolist(), j[y].tolist(), strict=True):
+                    s, t = _root(joined, int(pc[u])), _root(joined, int(qc[v]))
+                    if s != t:
+                        joined[s] = t
+                        a.append(int(pid[u]))
+                        b.append(int(qid[v]))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def _root(joined: dict[int, int], x: int) -> int:
+    while x in joined:
+        x = joined[x]
+    return x
+
+
+def _intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, by products of 0/1 matrices over the hashes that both sides have."""
+    out = np.zeros((len(left), len(right)), np.int64)
+    one, two = np.concatenate(left), np.concatenate(right)
+    shared = np.intersect1d(one, two)
+    rows = [(np.repeat(np.arange(len(x)), [len(s) for s in x]), np.searchsorted(shared, flat), flat) for x, flat in ((left, one), (right, two))]
+    places = []
+    for row, at, flat in rows:
+        ok = at < len(shared)
+        ok[ok] = shared[at[ok]] == flat[ok]
+        places.append((row[ok], at[ok]))
+    for k in range(0, len(shared), 4096):
+        m = []
+        for (row, at), n in zip(places, out.shape, strict=True):
+            here = (at >= k) & (at < k + 4096)
+            x = np.zeros((n, min(4096, len(shared) - k)), np.float32)
+            x[row[here], at[here] - k] = 1
+            m.append(x)
+        out += (m[0] @ m[1].T).astype(np.int64)
+    return out
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
