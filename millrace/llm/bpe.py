@@ -11,6 +11,7 @@ The merges come from a tokenizer's .json file; its added special strings, where
 from __future__ import annotations
 
 import json
+from itertools import repeat
 
 import numpy as np
 import regex
@@ -18,7 +19,7 @@ import regex
 #: The published split of byte-level BPE, with white space as Unicode defines it.
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 #: Strings that a store holds; beyond it, the store starts anew.
-STORE = 600_000
+STORE = 900_000
 
 
 def _byte_signs() -> list[str]:
@@ -55,8 +56,7 @@ class _Store:
         self.known.update(zip(new, range(n, n + m), strict=True))
 
     def at(self, items: list, learn) -> np.ndarray:
-        get = self.known.get
-        found = np.array([get(x, -1) for x in items], np.int64)
+        found = np.fromiter(map(self.known.get, items, repeat(-1)), np.int64, len(items))
         if len(gaps := np.flatnonzero(found < 0)):
             learn(list(dict.fromkeys([items[i] for i in gaps.tolist()])))
             found[gaps] = [self.known[items[i]] for i in gaps.tolist()]
@@ -81,6 +81,7 @@ class RankMerger:
         keys = np.array([vocab[a] * self.size + vocab[b] for a, b in pairs], np.int64)
         made = np.array([vocab[a + b] for a, b in pairs], np.int64)
         self._hash(keys, made)
+        self.byte_ranks = self.ranks(np.repeat(self.first, 256), np.tile(self.first, 256)).astype(np.int32)
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self._clear()
@@ -120,32 +121,45 @@ class RankMerger:
         return found
 
     def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All tokens of the pieces, one after the other, and each piece's number of tokens."""
+        """All tokens of the pieces, one after the other, and each piece's number of tokens.
+
+        A pair's rank is looked up when the pair comes to be, and kept until one of its sides is merged.
+        """
         lens = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        ids = self.first[np.frombuffer(b"".join(pieces), np.uint8)]
-        seq = np.repeat(np.arange(len(pieces)), lens)
+        raw = np.frombuffer(b"".join(pieces), np.uint8)
+        ids, seq = self.first[raw].astype(np.int32), np.repeat(np.arange(len(pieces), dtype=np.int32), lens)
+        rank = np.full(len(ids), self.none, np.int32)
+        if len(ids):
+            rank[:-1] = self.byte_ranks[raw[:-1].astype(np.int32) * 256 + raw[1:]]
+            rank[:-1][seq[:-1] != seq[1:]] = self.none
         ended_ids, ended_seq = [], []
         while len(ids):
-            rank = np.full(len(ids), self.none, np.int64)
-            rank[:-1] = np.where(seq[:-1] == seq[1:], self.ranks(ids[:-1], ids[1:]), self.none)
             start = np.flatnonzero(np.concatenate(([True], seq[1:] != seq[:-1])))
-            least = np.repeat(np.minimum.reduceat(rank, start), np.diff(np.append(start, len(ids))))
-            open_ = least < self.none
-            if not open_.all():  # sequences without a ranked pair are done
-                ended_ids.append(ids[~open_])
-                ended_seq.append(seq[~open_])
-                ids, seq, rank, least = ids[open_], seq[open_], rank[open_], least[open_]
+            size = np.diff(np.append(start, len(ids)))
+            lowest = np.minimum.reduceat(rank, start)
+            done = lowest == self.none
+            if done.any():  # sequences without a ranked pair
+                out = np.repeat(done, size)
+                ended_ids.append(ids[out])
+                ended_seq.append(seq[out])
+                ids, seq, rank, lowest, size = ids[~out], seq[~out], rank[~out], lowest[~done], size[~done]
                 if not len(ids):
                     break
-            hit = np.flatnonzero(rank == least)
+            hit = np.flatnonzero(rank == np.repeat(lowest, size))
             # A pair of equal symbols can overlap with the next: of such a run every second one merges, from the left.
             run = np.concatenate(([True], np.diff(hit) > 1))
-            first = np.maximum.accumulate(np.where(run, np.arange(len(hit)), 0))
-            hit = hit[(np.arange(len(hit)) - first) % 2 == 0]
+            if not run.all():
+                first = np.maximum.accumulate(np.where(run, np.arange(len(hit)), 0))
+                hit = hit[(np.arange(len(hit)) - first) % 2 == 0]
             ids[hit] = self.made[rank[hit]]
             keep = np.ones(len(ids), bool)
             keep[hit + 1] = False
-            ids, seq = ids[keep], seq[keep]
+            at = hit - np.arange(len(hit))  # where the merged symbols stand afterwards
+            ids, seq, rank = ids[keep], seq[keep], rank[keep]
+            fresh = np.concatenate((at, at[at > 0] - 1))
+            fresh = fresh[fresh < len(ids) - 1]
+            rank[at] = self.none
+            rank[fresh] = np.where(seq[fresh] == seq[fresh + 1], self.ranks(ids[fresh].astype(np.int64), ids[fresh + 1]), self.none)
         if not ended_ids:
             return np.empty(0, np.int64), np.zeros(len(pieces), np.int64)
         ids, seq = np.concatenate(ended_ids), np.concatenate(ended_seq)
@@ -171,27 +185,35 @@ class RankMerger:
             at = m.end()
         return out + _SPLIT.findall(text[at:])
 
-    def _learn_chunks(self, new: list[str]) -> None:
-        split = [self._split(c) for c in new]
-        flat = [p for x in split for p in x]
+    def _learn_chunks(self, new: list[str | tuple[str]]) -> None:
+        # Chunks that open with a blank are split as one text: each opens a pre-token there too.
+        plain = [c for c in new if isinstance(c, str) and c[0] == " "]
+        flat = _SPLIT.findall("".join(plain))
+        ends = np.cumsum(np.fromiter(map(len, flat), np.int64, len(flat)))
+        held = np.searchsorted(ends, np.cumsum(np.fromiter(map(len, plain), np.int64, len(plain))), "right")
+        counts = np.diff(held, prepend=0).tolist()
+        for c in new:
+            if not isinstance(c, str) or c[0] != " ":
+                own = _SPLIT.findall(c) if isinstance(c, str) else self._split(c[0])
+                plain.append(c)
+                flat += own
+                counts.append(len(own))
         at = self.pieces.at(flat, self._learn_pieces)
-        ids, counts = self.pieces.gather(at)
-        ends = np.concatenate(([0], np.cumsum(counts)))
-        cut = np.cumsum([0, *map(len, split)])
-        self.chunks.add(new, ids, ends[cut[1:]] - ends[cut[:-1]])
+        ids, sizes = self.pieces.gather(at)
+        self.chunks.add(plain, ids, _sums(sizes, np.array(counts, np.int64)))
 
     def numbers(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Store numbers of the chunks of all texts, and how many each text has. They hold until the next call.
 
         A blank before a sign that is no white space always opens a pre-token, so texts are cut there into chunks that are
-        tokenized by themselves. A text with other blanks, or with an added special string, is one chunk.
+        tokenized by themselves. A text with other blanks, or with an added special string, is one chunk, held as a tuple.
         """
         chunks, sizes = [], []
         for text in texts:
             if not text:
                 sizes.append(0)
             elif text[-1] == " " or _ODD_BLANK(text) or self.cut is not None and self.cut.search(text):
-                chunks.append(text)
+                chunks.append((text,))
                 sizes.append(1)
             else:
                 first, *rest = text.split(" ")
