@@ -17,6 +17,8 @@ told apart by 64-bit hashes. Repeated rows are each counted and answered. Withou
 
 from __future__ import annotations
 
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -32,28 +34,41 @@ from millrace.llm.common import byte_texts, crc_mod, materialize
 CONTEXT_SHARE, SEQUENCE_SHARE, HEAD = 1e-5, 2e-6, 500_000
 DISCOUNT, PENALTY = 0.5, 2.0
 #: Words that a worker remembers; beyond it, it starts anew. Tokens of one counting step.
-CACHE, STEP = 1_000_000, 2_000_000
-_END = -3_141_592_653_589_793_238
+CACHE, STEP = 400_000, 1_000_000
+_END = -1
 
 
-class _Hashes(dict):
+class _Codes(dict):
+    """Number of a word in the head table, or else its hash, which is negative."""
+
+    def __init__(self, head: np.ndarray | None = None):
+        super().__init__()
+        self.head = array("q", np.empty(0, np.int64).tobytes() if head is None else head.tobytes())
+        self.end = self._place(_END)
+
+    def _place(self, code: int) -> int:
+        at = bisect_left(self.head, code)
+        return at if at < len(self.head) and self.head[at] == code else code
+
     def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHE:
             self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word) - (1 << 63)
+        value = self[word] = self._place(-2 - (xxhash.xxh64_intdigest(word) >> 1))
         return value
 
 
-def _tokens(raws: list[bytes | None], hashes: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all texts' tokens, and each text's number of tokens, its end included."""
-    flat: list[int] = []
-    sizes = []
-    for raw in raws:
+def _tokens(raws: list[bytes | None], codes: _Codes) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of all texts' tokens, and each text's number of tokens, its end included."""
+    sizes = np.empty(len(raws), np.int64)
+    parts = []
+    for i, raw in enumerate(raws):
         words = raw.lower().split() if raw else []
-        flat += [hashes[w] for w in words]
-        flat.append(_END)
-        sizes.append(len(words) + 1)
-    return np.array(flat, np.int64), np.array(sizes, np.int64)
+        own = np.empty(len(words) + 1, np.int64)
+        own[:-1] = np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
+        own[-1] = codes.end
+        parts.append(own)
+        sizes[i] = len(own)
+    return np.concatenate(parts), sizes
 
 
 def _steps(raws: list[bytes | None]) -> Iterator[list[bytes | None]]:
@@ -79,10 +94,9 @@ WIDTH = 1 << 21
 
 
 class Tree(NamedTuple):
-    head: np.ndarray  # sorted hashes of frequent words
+    head: np.ndarray  # sorted codes of frequent words
     head_counts: np.ndarray
-    words: np.ndarray  # sorted hashes of the words that sequences are made of
-    word_counts: np.ndarray
+    word_of: np.ndarray  # of each of them, its number among the words that sequences are made of; -1 if it isn't one
     levels: list[Level]
     share: list[np.ndarray]  # of each level's sequences, the discounted share; 0 where the context isn't retained
     rest: list[np.ndarray]  # of each level's contexts, the mass left to the shorter suffix; 1 where not retained
@@ -98,29 +112,32 @@ def _find(table: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.where(table[at] == x, at, -1)
 
 
-def _walk(tokens: np.ndarray, words: np.ndarray, levels: list[Level]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _walk(tokens: np.ndarray, sizes: np.ndarray, word_of: np.ndarray, levels: list[Level]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For lengths 1, 2, ...: the number of the sequence that ends at each token, and of the one that ends before it; -1 if not in.
 
     No sequence goes on after an end.
     """
-    word = _find(words, tokens)
-    ended = np.concatenate(([True], tokens[:-1] == _END))
+    word = np.full(len(tokens), -1, np.int64)
+    known = tokens >= 0
+    word[known] = word_of[tokens[known]]
+    begins = np.cumsum(sizes) - sizes
     now = word
+    ahead = np.empty(0, np.int64)
     for level in [None, *levels]:
         if level is not None:
-            at = np.flatnonzero((ahead >= 0) & (word >= 0))  # noqa: F821
+            at = np.flatnonzero((ahead >= 0) & (word >= 0))
             now = np.full(len(tokens), -1, np.int64)
-            now[at] = _find(level.codes, ahead[at] * WIDTH + word[at])  # noqa: F821
+            now[at] = _find(level.codes, ahead[at] * WIDTH + word[at])
         ahead = np.concatenate(([-1], now[:-1]))
-        ahead[ended] = -1
+        ahead[begins] = -1
         yield now, ahead
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = _Hashes()
+    codes = _Codes()
     for batch in batches:
         for raws in _steps(byte_texts(batch.column(0))):
-            words, counts = np.unique(_tokens(raws, hashes)[0], return_counts=True)
+            words, counts = np.unique(_tokens(raws, codes)[0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(counts.astype(np.int64))], names=["w", "c"])
 
 
@@ -128,15 +145,15 @@ def _count_sequences(held):
     """Codes of the next longer sequences whose suffix is in, under contexts that are candidates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, levels, candidate = held.value
-        hashes = _Hashes()
+        head, word_of, levels, candidate = held.value
+        words = _Codes(head)
         for batch in batches:
             for raws in _steps(byte_texts(batch.column(0))):
-                tokens = _tokens(raws, hashes)[0]
-                *_, (now, ahead) = _walk(tokens, words, levels)
+                tokens, sizes = _tokens(raws, words)
+                *_, (now, ahead) = _walk(tokens, sizes, word_of, levels)
                 at = np.flatnonzero((ahead >= 0) & (now >= 0))
                 at = at[candidate[ahead[at]]]
-                codes, counts = np.unique(ahead[at] * WIDTH + _find(words, tokens[at]), return_counts=True)
+                codes, counts = np.unique(ahead[at] * WIDTH + word_of[tokens[at]], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts.astype(np.int64))], names=["w", "c"])
 
     return run
@@ -164,17 +181,18 @@ def fit(texts: DataFrame, depth: int = 2) -> tuple[Tree, DataFrame]:
             least, n = c, n + k
     head, head_counts = _table(counted.filter(F.col("c") >= least))
     floor = max(2.0, SEQUENCE_SHARE * total)
-    words, word_counts = head[head_counts >= floor], head_counts[head_counts >= floor]
+    word_of = np.where(head_counts >= floor, np.cumsum(head_counts >= floor) - 1, -1)
+    word_counts = head_counts[head_counts >= floor]
     levels: list[Level] = []
     counts = word_counts
     for _ in range(depth):
         candidate = counts >= max(2.0, CONTEXT_SHARE * total)
-        held = sc.broadcast((words, levels, candidate))
+        held = sc.broadcast((head, word_of, levels, candidate))
         level = Level(*_table(texts.mapInArrow(_count_sequences(held), "w long, c long").groupBy("w").agg(F.sum("c").alias("c")).filter(F.col("c") >= floor)))
         levels = [*levels, level]
         counts = level.counts
     share, rest = _retain(word_counts, levels, total, distinct)
-    return Tree(head, head_counts, words, word_counts, levels, share, rest, total, distinct), counted
+    return Tree(head, head_counts, word_of, levels, share, rest, total, distinct), counted
 
 
 def _retain(word_counts: np.ndarray, levels: list[Level], total: int, distinct: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -207,16 +225,16 @@ _SCORED = "row long, doc_id long, n_tokens long, head_known long, head_base doub
 def _score(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree: Tree = held.value
-        hashes, row = _Hashes(), TaskContext.get().partitionId() << 36
+        codes, row = _Codes(tree.head), TaskContext.get().partitionId() << 36
         for batch in batches:
             ids, at = batch.column(0), 0
             for raws in _steps(byte_texts(batch.column(1))):
-                tokens, sizes = _tokens(raws, hashes)
-                place = _find(tree.head, tokens)
-                known = place >= 0
-                base = np.where(known, (tree.head_counts[place] if len(tree.head) else 0) + 1.0, 1.0) / (tree.total + tree.distinct + 1)
-                p = np.where(known, base, 1.0)  # an unknown word's own factor comes by the join
-                steps = list(_walk(tokens, tree.words, tree.levels))
+                tokens, sizes = _tokens(raws, codes)
+                known = tokens >= 0
+                base = np.ones(len(tokens))
+                base[known] = (tree.head_counts[tokens[known]] + 1.0) / (tree.total + tree.distinct + 1)
+                p = base.copy()  # an unknown word's own factor comes by the join
+                steps = list(_walk(tokens, sizes, tree.word_of, tree.levels))
                 for (_, ahead), (now, _), share, rest in zip(steps, steps[1:], tree.share, tree.rest, strict=False):
                     c = np.flatnonzero(ahead >= 0)
                     p[c] *= rest[ahead[c]]

@@ -481,13 +481,10 @@ def test_lm_sums_to_one(spark):
 
 
 def end_probability(tree, words):
-    import xxhash
-
-    hashes = [xxhash.xxh64_intdigest(w.encode()) - (1 << 63) for w in words]
-    tokens = np.array([*hashes, lm._END], np.int64)
-    steps = list(lm._walk(tokens, tree.words, tree.levels))
-    place = lm._find(tree.head, tokens[-1:])[0]
-    p = (tree.head_counts[place] + 1) / (tree.total + tree.distinct + 1)
+    codes = lm._Codes(tree.head)
+    tokens, sizes = lm._tokens([" ".join(words).encode()], codes)
+    steps = list(lm._walk(tokens, sizes, tree.word_of, tree.levels))
+    p = (tree.head_counts[codes.end] + 1) / (tree.total + tree.distinct + 1)
     for (_, ahead), (now, _), share, rest in zip(steps, steps[1:], tree.share, tree.rest):
         p = (rest[ahead[-1]] if ahead[-1] >= 0 else 1) * p + (share[now[-1]] if now[-1] >= 0 else 0)
     return math.log10(p)
