@@ -2,5 +2,33 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from pyspark.sql import DataFrame, SparkSession
+
+from millrace.operators import content
+from millrace.plans import relational
+from millrace.sources.html import visible_lines
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main content of pages."""
+    return content.main_content(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def page_visible_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible lines with link shares (H1, H2, H3)."""
+    return visible_lines(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Template lines of hosts (M1)."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return content.templates(content.site_lines(pages), pages)
+
+
+def prose_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines after prose trimming (M9)."""
+    return content.trim_to_prose(visible_lines(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+
+
+QUERIES = {"main_content": flagship, "page_visible_lines": page_visible_lines, "template_lines": template_lines, "prose_lines": prose_lines} | relational.QUERIES
+ORACLES = dict(relational.ORACLES)

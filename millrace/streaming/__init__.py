@@ -1 +1 @@
-
+"""Stateful and incremental operators."""
