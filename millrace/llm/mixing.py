@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.common import materialize
+
 #: Fixed cycle of source weights.
 WEIGHTS = (5, 2, 1)
 
@@ -42,7 +44,7 @@ def targets(sizes: DataFrame, share: float = 1.5, most: float = 2.0, weights: tu
     return levels.withColumn("fixed", fixed["level"]).select("source", "source_size", F.when(F.col("fixed").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("fixed") * F.col("weight"))).alias("target"))
 
 
-def plan(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", size: str = "size", seed: str = "mix", share: float = 1.5, most: float = 2.0, bucket_rows: int = 20_000) -> DataFrame:
+def plan(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", size: str = "size", seed: str = "mix", share: float = 1.5, most: float = 2.0, bucket_rows: int = 5_000) -> DataFrame:
     """Adds source_size, target and epochs (how often the mix takes the row) to rows that have an id, a source and a size."""
     keyed = docs.withColumn("mix_key", F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).cast("binary")))
     stats = keyed.groupBy(F.col(source).alias("source")).agg(F.sum(size).alias("source_size"), F.count(F.lit(1)).alias("source_rows"))
@@ -64,15 +66,13 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", size:
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    sized = docs.select("doc_id", "source", words_of(F.col("text")).alias("size"))
+    sized = materialize(docs.select("doc_id", "source", words_of(F.col("text")).alias("size")), "mix-sizes")
     return plan(sized).select("doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size")).cast("long").alias("taken"))
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
     """The mixed rows with the columns of docs, each as often as it is taken."""
     sized = docs.select(F.struct(*docs.columns).alias("row"), F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), words_of(F.col(text)).alias("size"))
-    from millrace.llm.common import materialize
-
     narrow = materialize(sized.select("doc_id", "source", "size"), "mix-sizes")
     chosen = plan(narrow, **options).filter("epochs > 0").select(F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), F.col("size").alias("m_size"), "epochs")
     # Rows that agree in id, source and size share one decision table row.
