@@ -2,8 +2,8 @@
 
 Pre-tokens that a worker meets for the first time are held together as one ragged numpy array of symbols. In each round every
 sequence finds its lowest-rank adjacent pair and merges all its occurrences at once, until no sequence has a pair with a rank.
-What remains are the tokens. Their numbers are kept per distinct pre-token in a bounded store, so that a text costs one split
-and one look-up per pre-token.
+What remains are the tokens. Tokens are kept per distinct chunk (a word with what touches it) in a bounded store, so that a text costs
+one split at its blanks and one look-up per chunk.
 
 The merges come from a tokenizer's .json file; its added special strings, where a text holds them, are one token each.
 """
@@ -11,15 +11,15 @@ The merges come from a tokenizer's .json file; its added special strings, where
 from __future__ import annotations
 
 import json
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import regex
 
 #: The published split of byte-level BPE, with white space as Unicode defines it.
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-#: Strings that a store holds; beyond it, the store starts anew.
-STORE = 900_000
+#: Strings that a store holds; beyond it, only the first eighth stays.
+STORE = 600_000
 
 
 def _byte_signs() -> list[str]:
@@ -62,6 +62,13 @@ class _Store:
             found[gaps] = [self.known[items[i]] for i in gaps.tolist()]
         return found
 
+    def shrink(self, n: int) -> None:
+        """Keep the n strings learnt first, among which are the frequent ones."""
+        if len(self.known) > n:
+            self.known = dict(islice(self.known.items(), n))
+            self.used = int(self.begins[n - 1] + self.counts[n - 1]) if n else 0
+            self.flat, self.counts, self.begins = self.flat[: max(self.used, 1)].copy(), self.counts[: max(n, 1)].copy(), self.begins[: max(n, 1)].copy()
+
     def gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         counts = self.counts[at]
         ends = np.concatenate(([0], np.cumsum(counts)))
@@ -166,14 +173,26 @@ class RankMerger:
         return ids[np.argsort(seq, kind="stable")], np.bincount(seq, minlength=len(pieces))
 
     def _clear(self) -> None:
-        self.pieces, self.chunks = _Store(), _Store()
+        self.chunks = _Store()
+
+    def rest(self) -> None:
+        """Give up most of the store, as between tasks."""
+        self.chunks.shrink(STORE // 8)
+        if self.chunks.used > 4 * STORE:
+            self._clear()
 
-    def _learn_pieces(self, new: list[str | tuple[str]]) -> None:
-        plain = [p for p in new if isinstance(p, str)]
-        ids, counts = self.merge([p.encode() for p in plain])
-        self.pieces.add(plain, ids, counts)
-        added = [p for p in new if not isinstance(p, str)]
-        self.pieces.add(added, np.array([self.special[p[0]] for p in added], np.int64), np.ones(len(added), np.int64))
+    def _tokens(self, pieces: list[str | tuple[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """All tokens of the pre-tokens, one after the other, and each one's number of tokens; equal ones are merged once."""
+        new = _Store()
+
+        def learn(distinct: list[str | tuple[str]]) -> None:
+            plain = [p for p in distinct if isinstance(p, str)]
+            ids, counts = self.merge([p.encode() for p in plain])
+            new.add(plain, ids, counts)
+            added = [p for p in distinct if not isinstance(p, str)]
+            new.add(added, np.array([self.special[p[0]] for p in added], np.int64), np.ones(len(added), np.int64))
+
+        return new.gather(new.at(pieces, learn))
 
     def _split(self, text: str) -> list[str | tuple[str]]:
         """Pre-tokens; an added special string is a tuple, never equal to a pre-token of the same letters."""
@@ -198,8 +217,7 @@ class RankMerger:
                 plain.append(c)
                 flat += own
                 counts.append(len(own))
-        at = self.pieces.at(flat, self._learn_pieces)
-        ids, sizes = self.pieces.gather(at)
+        ids, sizes = self._tokens(flat)
         self.chunks.add(plain, ids, _sums(sizes, np.array(counts, np.int64)))
 
     def numbers(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -222,8 +240,8 @@ class RankMerger:
                     chunks.append(first)
                 chunks += map(" ".__add__, rest)
                 sizes.append(len(chunks) - n)
-        if len(self.chunks.known) > STORE or len(self.pieces.known) > STORE or len(self.chunks.flat) > 16 * STORE:
-            self._clear()
+        if len(self.chunks.known) > STORE or self.chunks.used > 16 * STORE:
+            self.rest()
         return self.chunks.at(chunks, self._learn_chunks), np.array(sizes, np.int64)
 
     def count(self, texts: list[str | None]) -> np.ndarray:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import byte_texts, materialize
+from millrace.llm.common import byte_texts, give_back, materialize
 
 _WORD = re.compile(rb"\S+")
 #: Word bytes stay (capitals become small), all others become blanks.
@@ -247,8 +247,10 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
     A cut can bring words together that form a window, so it repeats until no row has one. Null texts stay.
     """
     columns = docs.columns
-    found = find_hits(docs, benchmark, text, item_id, item_text, window, shard_words)
     shards = list(_shards(benchmark, item_id, item_text, shard_words))
+    if len(shards) == 1:
+        return _clean_at_once(docs, shards[0], text, window, max_coverage)
+    found = find_hits(docs, benchmark, text, item_id, item_text, window, shard_words)
     items = [docs.sparkSession.sparkContext.broadcast((f"cut-{id(docs)}-{n}-{hash(tuple(s))}", s)) for n, s in enumerate(shards)]
     hit = F.aggregate(F.sequence(F.lit(0), F.size("hit_spans") - 2, F.lit(2)), F.lit(0), lambda t, i: t + F.get("hit_spans", i + 1) - F.get("hit_spans", i))
     found = found.filter((F.size("hit_spans") == 0) | (F.when(F.size("hit_spans") > 0, hit) <= max_coverage * F.col("hit_words")))
@@ -270,6 +272,30 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
     return found.mapInArrow(cut, docs.schema)
 
 
+def _clean_at_once(docs: DataFrame, shard: list[tuple[str | None, bytes]], text: str, window: int, max_coverage: float) -> DataFrame:
+    """The same with one automaton: finding and cutting in one pass, so each task keeps one Python worker."""
+    items = docs.sparkSession.sparkContext.broadcast((f"one-{id(docs)}-{hash(tuple(shard))}", shard))
+    names = docs.columns
+    at = names.index(text)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        auto = _automaton(items, window)
+        for batch in batches:
+            raws, kept = byte_texts(batch.column(at)), []
+            for i, raw in enumerate(raws):
+                words = (raw or b"").translate(_FOLD).split()
+                spans = auto.find(words)[0]
+                kept.append(sum(b - a for a, b in spans) <= max_coverage * len(words))
+                while kept[-1] and spans:
+                    raws[i] = cut_words(raws[i], spans)
+                    spans = auto.find(raws[i].translate(_FOLD).split())[0]
+            fixed = pa.array(raws, pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([fixed if c == text else batch.column(k) for k, c in enumerate(names)], names=names).filter(pa.array(kept, pa.bool_()))
+        give_back()
+
+    return docs.mapInArrow(clean, docs.schema)
+
+
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document: word, hit and item counts, and the hash of the hit items."""
     found = find_hits(docs.select("doc_id", "text"), benchmark.select("item_id", "text"))

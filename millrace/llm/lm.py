@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import byte_texts, crc_mod, materialize
+from millrace.llm.common import byte_texts, crc_mod, give_back, materialize
 
 CONTEXT_SHARE, SEQUENCE_SHARE, HEAD = 1e-5, 2e-6, 500_000
 DISCOUNT, PENALTY = 0.5, 2.0
@@ -257,6 +257,8 @@ def _score(held):
                 )
                 row += len(raws)
                 at += len(raws)
+        codes.clear()
+        give_back()
 
     return run
 

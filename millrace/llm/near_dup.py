@@ -26,15 +26,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import byte_texts, materialize
+from millrace.llm.common import byte_texts, give_back, materialize
 from millrace.llm.components import components
 
 BANDS, ROWS, BITS, SLACK = 40, 5, 4, 5.0
 HASHES = BANDS * ROWS
 #: Shingles of a block; bits of the bitmap that thins out texts, at most.
-BLOCK, BITMAP = 1 << 17, 1 << 27
+BLOCK, BITMAP = 1 << 16, 1 << 27
 #: Words whose hashes a worker remembers; beyond it, it starts anew.
-CACHE = 1_000_000
+CACHE = 500_000
 _rng = np.random.default_rng(20_240_501)
 _MUL = (_rng.integers(0, 2**32, HASHES, dtype=np.uint32) | np.uint32(1))[:, None]
 _ADD = _rng.integers(0, 2**32, HASHES, dtype=np.uint32)[:, None]
@@ -102,6 +102,8 @@ def _sets(width: int):
                     bands.append(None)
                     packed.append(None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(packed, pa.list_(pa.int64()))], names=["id", "n_shingles", "key", "bands", "packed"])
+        words.clear()
+        give_back()
 
     return run
 
@@ -127,6 +129,8 @@ def _hashes(width: int):
         for batch in batches:
             got = [shingles(raw, words, width).tobytes() for raw in byte_texts(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.binary())], names=["id", "hashes"])
+        words.clear()
+        give_back()
 
     return run
 
@@ -181,7 +185,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     """(id, n_shingles, component_id, kept), one row per row of docs."""
     spark = docs.sparkSession
     batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
     try:
         return _classes(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")), width, percent)
     finally:
@@ -213,10 +217,11 @@ def _classes(docs: DataFrame, width: int, percent: int) -> DataFrame:
 def _rest(shared: DataFrame, nodes: DataFrame, docs: DataFrame, found: DataFrame, width: int, percent: int) -> DataFrame:
     """(a, b): links between components that meet in a bucket, enough of them to join all components that are linked there.
 
+    A bucket's leader has been tried with all others.
     A bucket's nodes are dealt to blocks of about BLOCK shingles. A task compares two blocks at a time, signatures first and then, by
     one matrix product, the sizes of all intersections; a pair of blocks yields fewer links than it has components.
     """
-    rows = shared.select("band", F.col("x").alias("id")).join(found.select(F.col("node").alias("id"), "component"), "id", "left").select("band", "id", F.coalesce("component", "id").alias("c"))
+    rows = shared.filter("x <> y").select("band", F.col("x").alias("id")).join(found.select(F.col("node").alias("id"), "component"), "id", "left").select("band", "id", F.coalesce("component", "id").alias("c"))
     spans = rows.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("band")
     rows = materialize(rows.join(spans, "band"), "open-buckets")
     sets = _full_sets(docs, rows.select("id").distinct(), width)
@@ -228,7 +233,7 @@ def _rest(shared: DataFrame, nodes: DataFrame, docs: DataFrame, found: DataFrame
     pairs = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.block") <= F.col("b.block"))).select(F.col("a.held").alias("p"), F.col("b.held").alias("q"))
     spark = docs.sparkSession
     batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
     try:
         return materialize(pairs.mapInArrow(_compare(percent), "a long, b long").distinct(), "more-links")
     finally:
@@ -245,13 +250,15 @@ def _compare(percent: int):
                 p, q = ({k: batch.column(i)[r].values.field(k) for k in ("id", "c", "packed", "hashes")} for i in (0, 1))
                 pc, qc = np.asarray(p["c"]), np.asarray(q["c"])
                 ps, qs = (np.asarray(x["packed"].flatten()).view(np.uint64).reshape(len(x["id"]), -1) for x in (p, q))
-                different = np.zeros((len(pc), len(qc)), np.int16)
-                for k in range(ps.shape[1]):
-                    z = ps[:, k, None] ^ qs[None, :, k]
-                    z |= z >> np.uint64(2)
-                    z |= z >> np.uint64(1)
-                    different += np.bitwise_count(z & np.uint64(0x1111111111111111))
-                likely = (((1 - different / HASHES) - chance) / (1 - chance) >= least) & (pc[:, None] != qc[None])
+                likely = pc[:, None] != qc[None]
+                for k in range(0, len(pc), 128):
+                    different = np.zeros(likely[k : k + 128].shape, np.uint8)
+                    for field in range(ps.shape[1]):
+                        z = ps[k : k + 128, field, None] ^ qs[None, :, field]
+                        z |= z >> np.uint64(2)
+                        z |= z >> np.uint64(1)
+                        different += np.bitwise_count(z & np.uint64(0x1111111111111111))
+                    likely[k : k + 128] &= ((1 - different / HASHES) - chance) / (1 - chance) >= least
                 i, j = np.flatnonzero(likely.any(1)), np.flatnonzero(likely.any(0))
                 if not len(i):
                     continue
@@ -269,6 +276,7 @@ def _compare(percent: int):
                         a.append(int(pid[u]))
                         b.append(int(qid[v]))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        give_back()
 
     return run
 

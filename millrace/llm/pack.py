@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.bpe import merger
+from millrace.llm.common import give_back
 from millrace.llm.token_count import slices
 
 SCHEMA = "pack_id long, n_tokens int, ids binary, cu_seqlens array<int>, position_resets array<int>, doc_ids array<long>, doc_rows array<long>, pieces array<int>"
@@ -121,6 +122,8 @@ def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
                         n = 0
         if held:
             yield from flush()
+        m.rest()
+        give_back()
 
     return docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(run, SCHEMA)
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import byte_texts, crc_mod
+from millrace.llm.common import byte_texts, crc_mod, give_back
 
 SAMPLE, FOLDS, CUT = 20_000, 5, 0.3
 FEATURES = 22
@@ -163,6 +163,7 @@ def score(docs: DataFrame, model: PUModel, text: str = "text") -> DataFrame:
         for batch in batches:
             x = np.array([features(raw) for raw in byte_texts(batch.column(at))]).reshape(-1, FEATURES)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(held.value.score(x), pa.float64())], names=names)
+        give_back()
 
     return docs.mapInArrow(run, docs.withColumn("score", F.lit(0.5)).schema)
 

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.bpe import merger
+from millrace.llm.common import give_back
 
-SLICE = 8_000_000
+SLICE = 2_000_000
 
 
 def slices(texts: list[str | None]) -> Iterator[list[str | None]]:
@@ -39,6 +40,8 @@ def count_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
         for batch in batches:
             parts = [m.count(part) for part in slices(batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(parts) if parts else [], pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
+        m.rest()
+        give_back()
 
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"), F.col(text).alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()

@@ -135,9 +135,13 @@ def test_decontaminate_edges(spark):
     k = len(NASTY)
     assert digest[k].items_sha256 == hashlib.sha256(b"1,6").hexdigest() and digest[k].n_hit == 11
     assert digest[0].items_sha256 == hashlib.sha256(b"").hexdigest() and not digest[0].contaminated
-    clean = decontaminate.remove_spans(small_docs(spark, more), bench, max_coverage=1.0)
-    assert clean.columns == small_docs(spark).columns
-    assert not [r for r in decontaminate.find_hits(clean, bench).collect() if r.hit_spans]
+    cleaned = []
+    for shard in (200_000, 4):
+        clean = decontaminate.remove_spans(small_docs(spark, more), bench, max_coverage=1.0, shard_words=shard)
+        assert clean.columns == small_docs(spark).columns
+        assert not [r for r in decontaminate.find_hits(clean, bench).collect() if r.hit_spans]
+        cleaned.append(clean)
+    assert sorted(map(str, cleaned[0].select("doc_id").collect())) == sorted(map(str, cleaned[1].select("doc_id").collect()))
     assert decontaminate.digest(empty(spark), bench).count() == 0
     assert decontaminate.digest(small_docs(spark), bench.limit(0)).filter("contaminated").count() == 0
 
@@ -497,5 +501,34 @@ def test_lm_edges(spark):
     assert lm.digest(empty(spark)).count() == 0
 
 
+def test_pipeline_brute(spark):
+    """Every stage against plain code on its own input, but for the classifier, whose decisions are taken as given."""
+    import corpus_pipeline as p
+
+    lib, docs, seen = library(), documents(spark), {}
+    for name, stage in p.STAGES:
+        out = stage(spark, docs, SF).cache()
+        seen[name] = (docs.collect(), out.collect())
+        assert name == "pack" or out.columns == docs.columns
+        docs = out
+    given, kept = seen["quality"]
+    assert {r.doc_id for r in kept} <= {r.doc_id for r in given} and len(kept) > len(given) / 2
+    given, kept = seen["near_dup"]
+    want = brute_components([(r.doc_id, r.text) for r in given])
+    assert sorted(r.doc_id for r in kept) == sorted({r.doc_id for r in given if want[r.doc_id] == r.doc_id})
+    given, kept = seen["decontaminate"]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    before = {r.doc_id: (brute_hits(r.text, items), r) for r in given}
+    assert {r.doc_id for r in kept} == {i for i, (h, _) in before.items() if h[1] <= 0.5 * h[0]}
+    for r in kept:
+        assert brute_hits(r.text, items)[1] == 0 and r.n_chars == len(r.text)
+        assert before[r.doc_id][0][1] or r == before[r.doc_id][1]
+    given, kept = seen["mix"]
+    assert set(kept) <= set(given) and max(Counter(r.doc_id for r in kept).values()) <= 2
+    given, _ = seen["pack"]
+    got = Counter((r.doc_id, tuple(r.ids)) for r in pack.unpack(docs).collect())
+    assert got == Counter((r.doc_id, (*lib.encode(r.text, add_special_tokens=False).ids, 50_256)) for r in given)
+
+
 def test_fixture_is_there():
     assert pq.read_metadata(f"{SF}/documents.parquet").num_rows == 200
