@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.operators import content
-from millrace.plans import relational
+from millrace.plans import evidence, relational
 from millrace.sources.html import visible_lines
 
 
@@ -30,5 +30,5 @@ def prose_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content.trim_to_prose(visible_lines(spark.read.parquet(f"{sf_dir}/pages.parquet")))
 
 
-QUERIES = {"main_content": flagship, "page_visible_lines": page_visible_lines, "template_lines": template_lines, "prose_lines": prose_lines} | relational.QUERIES
-ORACLES = dict(relational.ORACLES)
+QUERIES = {"main_content": flagship, "page_visible_lines": page_visible_lines, "template_lines": template_lines, "prose_lines": prose_lines} | relational.QUERIES | evidence.QUERIES
+ORACLES = relational.ORACLES | evidence.ORACLES

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -204,14 +205,18 @@ select l.l_orderkey, l.l_linenumber, l.l_partkey from lineitem l join g on l.l_o
 }
 
 
+#: $JOIN(value;separator;order)$: an ordered concatenation.
+JOIN = re.compile(r"\$JOIN\((.+?);('.+?');(.+?)\)\$")
+
+
 def render(sql: str, dialect: int) -> str:
     for name, forms in MACROS.items():
         sql = sql.replace(name, forms[dialect])
+    sql = JOIN.sub((r"listagg(\1, \2) within group (order by \3)", r"string_agg(\1, \2 order by \3)")[dialect], sql)
     return sql.replace(", '', 'g')", ", '')") if dialect == 0 else sql
 
 
-def _run(sql: str) -> Callable[[SparkSession, str], DataFrame]:
-    text = render(sql, 0)
+def runner(text: str) -> Callable[[SparkSession, str], DataFrame]:
     used = [t for t in TABLES if t in text]
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,5 +227,5 @@ def _run(sql: str) -> Callable[[SparkSession, str], DataFrame]:
     return query
 
 
-QUERIES = {name: _run(sql) for name, sql in SQL.items()}
+QUERIES = {name: runner(render(sql, 0)) for name, sql in SQL.items()}
 ORACLES = {name: render(sql, 1) for name, sql in SQL.items()}

@@ -61,12 +61,12 @@ def canonical(rows):
     return sorted(tuple(f"{v:.6g}" if isinstance(v, float) else str(v) for v in r) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(relational.QUERIES))
+@pytest.mark.parametrize("name", sorted(catalogue.ORACLES))
 def test_equals_sql(spark, name):
     con = duckdb.connect()
     for t in relational.TABLES:
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
-    got = relational.QUERIES[name](spark, SF)
-    want = con.sql(relational.ORACLES[name])
+    got = catalogue.QUERIES[name](spark, SF)
+    want = con.sql(catalogue.ORACLES[name])
     assert got.columns == want.columns
     assert canonical(got.collect()) == canonical(want.fetchall())
