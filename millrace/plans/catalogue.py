@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.operators import content
+from millrace.functions import similarity
+from millrace.operators import chunks, content, measurements
 from millrace.plans import evidence, relational
+from millrace.sources.blocks import blocks
 from millrace.sources.html import visible_lines
 
 
@@ -30,5 +33,37 @@ def prose_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content.trim_to_prose(visible_lines(spark.read.parquet(f"{sf_dir}/pages.parquet")))
 
 
-QUERIES = {"main_content": flagship, "page_visible_lines": page_visible_lines, "template_lines": template_lines, "prose_lines": prose_lines} | relational.QUERIES | evidence.QUERIES
-ORACLES = relational.ORACLES | evidence.ORACLES
+def html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks of pages with scopes, sections, tables and pairs."""
+    return blocks(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def html_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks packed in order."""
+    return chunks.build_chunks(html_blocks(spark, sf_dir), max_tokens=200)
+
+
+def text_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measurements in documents."""
+    return measurements.measurements(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def spec_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measurements in sheets whose values are known."""
+    sheet = spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr("p_partkey", "concat('Length: ', p_size, ' cm; Speed: up to ', p_size, ' km/h; Body ', p_size, ' x 20 x 10 mm') as text")
+    return measurements.measurements(sheet, "p_partkey").select("p_partkey", "kind", "comparator", "value", "unit", F.round("base", 4).alias("base"))
+
+
+def fuzzy_shortlist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brand and type labels by the nearest part names."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    return similarity.shortlist(part.select(F.concat_ws(" ", F.lower("p_type"), "p_name").alias("label")), part.select(F.col("p_name").alias("name")))
+
+
+SHEET_SQL = """
+select p_partkey, 'scalar' as kind, 'eq' as comparator, cast(p_size as double) as value, 'cm' as unit, round(p_size * 0.01, 4) as base from part
+union all select p_partkey, 'bound', 'up_to', cast(p_size as double), 'km/h', round(p_size / 3.6, 4) from part
+union all select p_partkey, 'composite', 'eq', cast(p_size as double), 'mm', round(p_size * 0.001, 4) from part"""
+
+QUERIES = {"html_blocks": html_blocks, "html_chunks": html_chunks, "text_measurements": text_measurements, "spec_measurements": spec_measurements, "fuzzy_shortlist": fuzzy_shortlist, "main_content": flagship, "page_visible_lines": page_visible_lines, "template_lines": template_lines, "prose_lines": prose_lines} | relational.QUERIES | evidence.QUERIES
+ORACLES = {"spec_measurements": SHEET_SQL} | relational.ORACLES | evidence.ORACLES
