@@ -1,12 +1,15 @@
 """LM scoring by a probabilistic suffix tree.
 
-Counts of words and of word sequences come from all training texts. Contexts of 1 to `depth` words are candidates if they make up
-CONTEXT_SHARE of the tokens, next symbols under them if the sequence makes up SEQUENCE_SHARE; both are shares of the corpus, so a
-context table has 1 / CONTEXT_SHARE rows at most and a sequence table 1 / SEQUENCE_SHARE, whatever the corpus, and longer sequences
-are counted only where their suffixes are in (which loses none). A context is retained if the divergence of its next-symbol counts from
-what the next shorter retained context predicts is worth its size. A token's probability is that of the longest retained suffix of what
-stands before it: the discounted share of the symbol plus the discounted mass times the shorter suffix's probability, down to
-(c + 1) / (N + V + 1). Each distribution sums to 1 with one unseen symbol.
+Counts of words and of word sequences come from all training texts. A sequence of 2 to `depth` + 1 words enters if it occurs LEAST times,
+whatever the corpus. A context is retained if the divergence of its next-symbol counts from what the next shorter retained context
+predicts is worth its size; nothing else is pruned. A token's probability is that of the longest retained suffix of what stands before it:
+the discounted share of the symbol plus the discounted mass times the shorter suffix's probability, down to (c + 1) / (N + V + 1). Each
+distribution sums to 1 with one unseen symbol.
+
+Sequences and contexts are distributed tables. As logarithms, what a sequence adds to a text's score depends on that sequence alone: the
+gain over the shorter suffix's prediction, plus the mass it leaves as a context; so a score is a sum over a join. Training texts of up to
+SMALL tokens have the same tree as arrays in memory. A bit table of fixed size spares the shuffles most sequences that aren't in; what it
+lets through wrongly, counts and joins reject.
 
 The most frequent words, HEAD at most, are looked up in a broadcast table of at most HEAD rows; all others by a join, in
 which no known word has many rows, for a word with many is in the table.
@@ -31,7 +34,9 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import byte_texts, crc_mod, give_back, materialize
 
-CONTEXT_SHARE, SEQUENCE_SHARE, HEAD = 1e-5, 2e-6, 500_000
+LEAST, HEAD, SMALL = 2, 500_000, 1_000_000
+#: Sequences whose values are looked up in a broadcast table, at most; the bit table's size is 2 ** BITS.
+HEAD_VALUES, BITS, PIECE = 200_000, 27, 21
 DISCOUNT, PENALTY = 0.5, 2.0
 #: Words that a worker remembers; beyond it, it starts anew. Tokens of one counting step.
 CACHE, STEP = 400_000, 1_000_000
@@ -102,6 +107,11 @@ class Tree(NamedTuple):
     rest: list[np.ndarray]  # of each level's contexts, the mass left to the shorter suffix; 1 where not retained
     total: int
     distinct: int
+    values: DataFrame | None = None  # beyond SMALL: (k, v), what each sequence adds to a score as a logarithm
+    head_keys: np.ndarray = np.empty(0, np.int64)  # the most frequent of them, sorted
+    head_values: np.ndarray = np.empty(0)
+    bits: np.ndarray = np.empty(0, np.uint8)
+    depth: int = 0
 
 
 def _find(table: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -141,18 +151,165 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(counts.astype(np.int64))], names=["w", "c"])
 
 
+def _mix(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
+    """64-bit hash of two codes."""
+    x = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x ^= np.asarray(b, np.int64).astype(np.uint64) + np.uint64(0xD1B54A32D192ED03) + (x << np.uint64(6)) + (x >> np.uint64(2))
+    for m in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x ^= x >> np.uint64(33)
+        x *= np.uint64(m)
+    return (x ^ (x >> np.uint64(33))).astype(np.int64)
+
+
+def _slots(keys: np.ndarray) -> np.ndarray:
+    return (_mix(keys, 0).astype(np.uint64) >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def _may_hold(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    slots = _slots(keys)
+    return (bits[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _bit_table(keys: DataFrame) -> np.ndarray:
+    """Bits of a column of keys: pieces are set by executors, and have one size for any number of keys."""
+
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            s = np.unique(_slots(np.asarray(batch.column(0))))
+            yield pa.RecordBatch.from_arrays([pa.array(s >> PIECE), pa.array(s & ((1 << PIECE) - 1))], names=["piece", "slot"])
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at, slot = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            for i in np.unique(at).tolist():
+                own.setdefault(i, np.zeros(1 << PIECE, bool))[slot[at == i]] = True
+        for i, b in own.items():
+            yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([np.packbits(b, bitorder="little").tobytes()], pa.binary())], names=["piece", "bits"])
+
+    bits, size = np.zeros(1 << (BITS - 3), np.uint8), 1 << (PIECE - 3)
+    for r in keys.mapInArrow(slots, "piece long, slot long").repartition(1 << (BITS - PIECE), "piece").mapInArrow(pieces, "piece long, bits binary").collect():
+        bits[r.piece * size : (r.piece + 1) * size] = np.frombuffer(r.bits, np.uint8)
+    return bits
+
+
+def _longer(now: np.ndarray, place: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of hashes of sequences one shorter, by their last token: the positions of the longer ones, and their contexts and suffixes."""
+    at = np.flatnonzero(place >= length - 1)
+    return at, now[at - 1], now[at]
+
+
+def _places(sizes: np.ndarray) -> np.ndarray:
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def _count_pairs(held, length: int):
+    """(context, suffix, count) of the sequences of a length; those left out have a context or suffix below LEAST."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, often, bits = held.value
+        words = _Codes(head)
+        for batch in batches:
+            for raws in _steps(byte_texts(batch.column(0))):
+                now, sizes = _tokens(raws, words)
+                place = _places(sizes)
+                for n in range(2, length):
+                    at, a, b = _longer(now, place, n)
+                    now = np.zeros(len(now), np.int64)
+                    now[at] = _mix(a, b)
+                ok = _may_hold(bits, now)
+                if length == 2:
+                    ok[now >= 0] = often[now[now >= 0]]
+                at, a, b = _longer(now, place, length)
+                is_in = ok[at - 1] & ok[at]
+                a, b = a[is_in], b[is_in]
+                order = np.lexsort((b, a))
+                a, b = a[order], b[order]
+                first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))[: len(a)])
+                yield pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(b[first]), pa.array(np.diff(np.append(first, len(a))))], names=["a", "b", "c"])
+        words.clear()
+        give_back()
+
+    return run
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        a, b, c = batch.columns
+        yield pa.RecordBatch.from_arrays([pa.array(_mix(np.asarray(a), np.asarray(b))), a, b, c], names=["k", "a", "b", "c"])
+
+
+def _numbered(held):
+    """Words' hashes as `_Codes` gives them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = held.value[0]
+        for batch in batches:
+            w = np.asarray(batch.column(0))
+            at = _find(head, w)
+            yield pa.RecordBatch.from_arrays([pa.array(np.where(at >= 0, at, w)), batch.column(1)], names=["k", "c"])
+
+    return run
+
+
+def _least(counted: DataFrame, most: int) -> int:
+    """The smallest count such that at most so many rows have it or more."""
+    least, n = 1 << 62, 0
+    for c, k in counted.groupBy("c").count().orderBy(F.desc("c")).limit(most).toLocalIterator():
+        if n + k > most:
+            break
+        least, n = c, n + k
+    return least
+
+
+def _fit_tables(texts: DataFrame, counted: DataFrame, head: np.ndarray, head_counts: np.ndarray, total: int, distinct: int, depth: int) -> Tree:
+    """What `fit` does in memory, by joins."""
+    sc = texts.sparkSession.sparkContext
+    bits = _bit_table(counted.filter(F.col("c") >= LEAST).select("w"))
+    often = head_counts >= LEAST
+    held = sc.broadcast((head, often, bits))
+    known = counted.filter(F.col("c") >= LEAST).mapInArrow(_numbered(held), "k long, c long")
+    known = known.withColumn("p", (F.col("c") + 1) / F.lit(float(total + distinct + 1)))
+    parts = []
+    for length in range(2, depth + 2):
+        pairs = texts.mapInArrow(_count_pairs(held, length), "a long, b long, c long").groupBy("a", "b").agg(F.sum("c").alias("c")).filter(F.col("c") >= LEAST)
+        pairs = materialize(pairs.mapInArrow(_hashed, "k long, a long, b long, c long"), "sequences")
+        pairs = materialize(pairs.join(known.select(F.col("k").alias("b"), F.col("p").alias("s")), "b").select("k", "a", "c", "s"), "suffixes")
+        sums = pairs.groupBy("a").agg(F.sum("c").alias("seen"), F.count(F.lit(1)).alias("rows"), F.sum(F.col("c") * F.ln(F.col("c") / F.col("s"))).alias("g"), F.sum("s").alias("theirs"))
+        sums = sums.join(known.select(F.col("k").alias("a"), F.col("c").alias("n")), "a")
+        tiny = lambda c: F.ln(F.greatest(c, F.lit(1e-12)))
+        gain = F.col("g") - F.col("seen") * F.ln("n") + F.greatest(F.col("n") - F.col("seen"), F.lit(0)) * (tiny(1 - F.col("seen") / F.col("n")) - tiny(1 - F.col("theirs")))
+        kept = materialize(sums.filter(gain > PENALTY * F.col("rows")).select("a", "n", (1 - (F.col("seen") - DISCOUNT * F.col("rows")) / F.col("n")).alias("r")), "contexts")
+        p = F.coalesce((F.col("c") - DISCOUNT) / F.col("n"), F.lit(0.0)) + F.coalesce("r", F.lit(1.0)) * F.col("s")
+        level = pairs.join(kept, "a", "left").select("k", "c", p.alias("p"), F.log10(p / (F.col("r") * F.col("s"))).alias("v"))
+        level = materialize(level, "level")
+        parts += [kept.select(F.col("a").alias("k"), F.log10("r").alias("v"), F.col("n").alias("c")), level.filter(F.col("v").isNotNull()).select("k", "v", "c")]
+        if length <= depth:
+            held = sc.broadcast((head, often, _bit_table(level.select("k"))))
+        known = level.select("k", "c", "p")
+    values = parts[0]
+    for part in parts[1:]:
+        values = values.unionByName(part)
+    values = materialize(values.groupBy("k").agg(F.sum("v").alias("v"), F.max("c").alias("c")), "values")
+    least = _least(values, HEAD_VALUES)
+    t = values.filter(F.col("c") >= least).select("k", "v").toArrow()
+    k, v = np.asarray(t.column(0)).astype(np.int64), np.asarray(t.column(1)).astype(float)
+    order = np.argsort(k)
+    rest = values.filter(F.col("c") < least).select("k", "v")
+    return Tree(head, head_counts, np.full(len(head), -1), [], [], [], total, distinct, rest, k[order], v[order], _bit_table(rest.select("k")), depth)
+
+
 def _count_sequences(held):
-    """Codes of the next longer sequences whose suffix is in, under contexts that are candidates."""
+    """Codes of the next longer sequences whose context and suffix are in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, word_of, levels, candidate = held.value
+        head, word_of, levels = held.value
         words = _Codes(head)
         for batch in batches:
             for raws in _steps(byte_texts(batch.column(0))):
                 tokens, sizes = _tokens(raws, words)
                 *_, (now, ahead) = _walk(tokens, sizes, word_of, levels)
                 at = np.flatnonzero((ahead >= 0) & (now >= 0))
-                at = at[candidate[ahead[at]]]
                 codes, counts = np.unique(ahead[at] * WIDTH + word_of[tokens[at]], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts.astype(np.int64))], names=["w", "c"])
 
@@ -167,7 +324,7 @@ def _table(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return w[order].astype(np.int64), c[order].astype(np.int64)
 
 
-def fit(texts: DataFrame, depth: int = 2) -> tuple[Tree, DataFrame]:
+def fit(texts: DataFrame, depth: int = 3) -> tuple[Tree, DataFrame]:
     """The tree, and all words' counts (w, c). texts: one column."""
     sc = texts.sparkSession.sparkContext
     counted = materialize(texts.mapInArrow(_count_words, "w long, c long").groupBy("w").agg(F.sum("c").alias("c")), "words")
@@ -180,15 +337,15 @@ def fit(texts: DataFrame, depth: int = 2) -> tuple[Tree, DataFrame]:
                 break
             least, n = c, n + k
     head, head_counts = _table(counted.filter(F.col("c") >= least))
-    floor = max(2.0, SEQUENCE_SHARE * total)
-    word_of = np.where(head_counts >= floor, np.cumsum(head_counts >= floor) - 1, -1)
-    word_counts = head_counts[head_counts >= floor]
+    if distinct > HEAD or total > SMALL:
+        return _fit_tables(texts, counted, head, head_counts, total, distinct, depth), counted
+    word_of = np.where(head_counts >= LEAST, np.cumsum(head_counts >= LEAST) - 1, -1)
+    word_counts = head_counts[head_counts >= LEAST]
     levels: list[Level] = []
     counts = word_counts
     for _ in range(depth):
-        candidate = counts >= max(2.0, CONTEXT_SHARE * total)
-        held = sc.broadcast((head, word_of, levels, candidate))
-        level = Level(*_table(texts.mapInArrow(_count_sequences(held), "w long, c long").groupBy("w").agg(F.sum("c").alias("c")).filter(F.col("c") >= floor)))
+        held = sc.broadcast((head, word_of, levels))
+        level = Level(*_table(texts.mapInArrow(_count_sequences(held), "w long, c long").groupBy("w").agg(F.sum("c").alias("c")).filter(F.col("c") >= LEAST)))
         levels = [*levels, level]
         counts = level.counts
     share, rest = _retain(word_counts, levels, total, distinct)
@@ -219,7 +376,29 @@ def _retain(word_counts: np.ndarray, levels: list[Level], total: int, distinct:
     return share, rest
 
 
-_SCORED = "row long, doc_id long, n_tokens long, head_known long, head_base double, head_score double, tail array<long>"
+_SCORED = "row long, doc_id long, n_tokens long, head_known long, head_base double, head_score double, tail array<long>, more array<long>"
+
+
+def _values(tree: Tree, tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, pa.ListArray]:
+    """At each token, what the frequent sequences that end there add; and each text's other sequences that may have a value."""
+    gain, texts, keys = np.zeros(len(tokens)), [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    if tree.depth:
+        text, place = np.repeat(np.arange(len(sizes)), sizes), _places(sizes)
+        now, at = tokens, np.arange(len(tokens))
+        for length in range(1, tree.depth + 2):
+            if length > 1:
+                at, a, b = _longer(now, place, length)
+                now = np.zeros(len(tokens), np.int64)
+                now[at] = _mix(a, b)
+            found = _find(tree.head_keys, now[at])
+            gain[at[found >= 0]] += tree.head_values[found[found >= 0]]
+            at = at[found < 0]
+            at = at[_may_hold(tree.bits, now[at])]
+            texts.append(text[at])
+            keys.append(now[at])
+    text, key = np.concatenate(texts), np.concatenate(keys)
+    ends = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=len(sizes)))))
+    return gain, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(key[np.argsort(text, kind="stable")], pa.int64()))
 
 
 def _score(held):
@@ -240,6 +419,7 @@ def _score(held):
                     p[c] *= rest[ahead[c]]
                     e = np.flatnonzero(now >= 0)
                     p[e] += share[now[e]]
+                gain, more = _values(tree, tokens, sizes)
                 start = np.cumsum(sizes) - sizes
                 add = lambda x: np.add.reduceat(x, start)  # noqa: B023, E731
                 tails = np.concatenate(([0], np.cumsum(add((~known).astype(np.int64)))))
@@ -250,8 +430,9 @@ def _score(held):
                         pa.array(sizes),
                         pa.array(add(known.astype(np.int64))),
                         pa.array(add(np.where(known, np.log10(base), 0.0))),
-                        pa.array(add(np.log10(p))),
+                        pa.array(add(np.log10(p) + gain)),
                         pa.ListArray.from_arrays(pa.array(tails, pa.int32()), pa.array(tokens[~known], pa.int64())),
+                        more,
                     ],
                     names=[f.split(" ")[0] for f in _SCORED.split(", ")],
                 )
@@ -269,13 +450,17 @@ def held_out(doc_id: Column) -> Column:
 
 def score(docs: DataFrame, tree: Tree, counted: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score), one row per row."""
-    held = docs.sparkSession.sparkContext.broadcast(tree)
+    held = docs.sparkSession.sparkContext.broadcast(tree._replace(values=None))
     scored = materialize(docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(_score(held), _SCORED), "lm-scored")
     tails = scored.select("row", F.explode("tail").alias("w")).join(counted, "w", "left")
     factor = F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(tree.total + tree.distinct + 1)))
     tails = tails.groupBy("row").agg(F.sum(factor).alias("tail_score"), F.count("c").alias("tail_known"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return scored.drop("tail").join(tails, "row", "left").select("doc_id", "n_tokens", (F.col("head_known") + zero("tail_known")).alias("n_known"), F.lit(tree.total).cast("long").alias("train_tokens"), (F.col("head_base") + zero("tail_score")).alias("base_score"), (F.col("head_score") + zero("tail_score")).alias("score"))
+    out, score = scored.drop("tail", "more").join(tails, "row", "left"), F.col("head_score") + zero("tail_score")
+    if tree.values is not None:
+        more = scored.select("row", F.explode("more").alias("k")).join(tree.values, "k").groupBy("row").agg(F.sum("v").alias("more_score"))
+        out, score = out.join(more, "row", "left"), score + zero("more_score")
+    return out.select("doc_id", "n_tokens", (F.col("head_known") + zero("tail_known")).alias("n_known"), F.lit(tree.total).cast("long").alias("train_tokens"), (F.col("head_base") + zero("tail_score")).alias("base_score"), score.alias("score"))
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -464,6 +464,26 @@ def test_lm_head_and_join_agree(spark, monkeypatch):
         assert r.base_score == pytest.approx(whole[r.doc_id].base_score, rel=1e-9)
 
 
+def test_lm_tables_and_memory_agree(spark, monkeypatch):
+    docs = documents(spark)
+    whole = {r.doc_id: r for r in lm.digest(docs).collect()}
+    monkeypatch.setattr(lm, "SMALL", 0)
+    monkeypatch.setattr(lm, "HEAD", 40)
+    monkeypatch.setattr(lm, "HEAD_VALUES", 30)
+    for r in lm.digest(docs).collect():
+        assert r.score == pytest.approx(whole[r.doc_id].score, rel=1e-9)
+
+
+def test_lm_keeps_rare_sequences(spark):
+    """A sequence's place doesn't depend on how large the rest of the corpus is."""
+    docs = spark.createDataFrame([("alpha beta gamma delta " * 4,), ("alpha beta gamma delta",)], "text string")
+    filler = spark.range(8).select(F.expr("repeat('x y z w ', 400000)").alias("text"))
+    tree, counted = lm.fit(docs.union(filler))
+    asked = spark.createDataFrame([(1, "alpha beta gamma delta")], "doc_id long, text string")
+    r = lm.score(asked, tree, counted).first()
+    assert r.score > r.base_score + 10
+
+
 def test_lm_sums_to_one(spark):
     """Over all words and one unseen, after every context."""
     texts = ["a b c a b d", "a b c", "b c a", "c c a b"] * 6
