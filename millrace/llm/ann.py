@@ -2,9 +2,9 @@
 
 Largest inner product becomes smallest distance by one more component, sqrt(M^2 - |x|^2) with M the largest norm, that queries have
 as 0. Centroids come from balanced k-means on a bounded sample (SAMPLE rows); every vector is then put in the list of its nearest
-centroid and, if it lies near a boundary (distance ratio up to `replica_ratio`), of up to `replicas` lists. Centroids are searched by
-best-first walks in an in-memory neighbour graph. A query visits at least `least_lists` lists and all others whose distance ratio to
-the nearest is up to `list_ratio`. Lists are cut into blocks of about `block_rows` vectors and meet blocks of queries, so neither a
+centroid and, if it lies near a boundary (distance ratio up to `replica_ratio`), of up to `replicas` lists. Vectors find
+their lists by best-first walks in an in-memory neighbour graph of the centroids. A query is compared with all centroids, and visits at
+least `least_lists` lists and all others whose distance ratio to the nearest is up to `list_ratio`, however many they are. Lists are cut into blocks of about `block_rows` vectors and meet blocks of queries, so neither a
 hot list nor a hot query region is one task. Scores are double-precision inner products of the original vectors, summed in order.
 
 Centroids number n / list_rows, MOST_LISTS at most: what is broadcast is bounded. All vectors are indexed. Vectors that are null, zero,
@@ -66,6 +66,12 @@ class CentroidGraph:
         far = (np.arange(k)[:, None] + np.array([k // 2, k // 3, 1])[None]) % max(k, 1)
         self.near = np.concatenate((near, far), 1)
 
+    def nearest_first(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(centroid numbers, distances) of all centroids, nearest first."""
+        dist = np.einsum("ij,ij->i", x, x)[:, None] + self.sq[None] - 2 * x @ self.c.T
+        order = np.argsort(dist, 1, kind="stable")
+        return order, np.sqrt(np.maximum(np.take_along_axis(dist, order, 1), 0))
+
     def search(self, x: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """(centroid numbers, distances), nearest first, of the beam's size or all centroids."""
         n, k = len(x), len(self.c)
@@ -127,8 +133,8 @@ def _graph(held) -> CentroidGraph:
     return _graphs[key]
 
 
-def _lists(held, top: float, ratio: float, least: int, most: int, query: bool):
-    """(list, id, vec) rows: one for each list of a vector."""
+def _lists(held, top: float, ratio: float, least: int, most: int | None, query: bool):
+    """(list, id, vec) rows: one for each list of a vector, `most` if given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph = _graph(held)
@@ -137,11 +143,15 @@ def _lists(held, top: float, ratio: float, least: int, most: int, query: bool):
                 part = batch.slice(i, 1000)
                 x = _matrix(part.column(1))
                 more = np.zeros(len(x)) if query else np.sqrt(np.maximum(top * top - np.einsum("ij,ij->i", x, x), 0))
-                at, dist = graph.search(np.column_stack((x, more)), max(32, 2 * most))
+                full = np.column_stack((x, more))
+                at, dist = graph.nearest_first(full) if most is None else graph.search(full, max(32, 2 * most))
                 take = np.isfinite(dist) & ((dist <= ratio * dist[:, :1]) | (np.arange(dist.shape[1]) < least)[None])
-                take[:, most:] = False
-                rows, cols = np.nonzero(take)
-                yield pa.RecordBatch.from_arrays([pa.array(at[rows, cols], pa.int32()), part.column(0).take(pa.array(rows)), part.column(1).take(pa.array(rows))], names=["list", "id", "vec"])
+                if most is not None:
+                    take[:, most:] = False
+                all_rows, all_cols = np.nonzero(take)
+                for j in range(0, len(all_rows), 20_000):
+                    rows, cols = all_rows[j : j + 20_000], all_cols[j : j + 20_000]
+                    yield pa.RecordBatch.from_arrays([pa.array(at[rows, cols], pa.int32()), part.column(0).take(pa.array(rows)), part.column(1).take(pa.array(rows))], names=["list", "id", "vec"])
 
     return run
 
@@ -205,7 +215,7 @@ def _search(k: int):
     return run
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_id", embedding: str = "embedding", list_rows: int = 1000, replicas: int = 4, replica_ratio: float = 1.15, list_ratio: float = 1.2, least_lists: int = 16, most_lists: int = 64, block_rows: int = 4096) -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_id", embedding: str = "embedding", list_rows: int = 1000, replicas: int = 4, replica_ratio: float = 1.15, list_ratio: float = 1.2, least_lists: int = 16, block_rows: int = 4096) -> DataFrame:
     """(query_id, rank, vec_id, score): for rows where is_query holds, the k best of all others."""
     spark = vectors.sparkSession
     all_ = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(embedding).cast("array<double>").alias("vec"), is_query.alias("q")).filter(usable(F.col("vec")) & F.col("id").isNotNull())
@@ -224,7 +234,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
     held = spark.sparkContext.broadcast((f"{id(all_)}-{stats.n}-{top}", balanced_kmeans(x, lists)))
     shape = "list int, id long, vec array<double>"
     posted = materialize(all_.select("id", "vec").mapInArrow(_lists(held, top, replica_ratio, 1, replicas, False), shape), "postings")
-    asked = all_.filter("q").select("id", "vec").mapInArrow(_lists(held, top, list_ratio, least_lists, most_lists, True), shape)
+    asked = all_.filter("q").select("id", "vec").mapInArrow(_lists(held, top, list_ratio, least_lists, None, True), shape)
     blocks = F.broadcast(posted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("blocks")))  # one row per list
     pack = F.collect_list(F.struct("id", "vec"))
     posted = posted.join(blocks, "list").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))).groupBy("list", "block").agg(pack.alias("vecs"))

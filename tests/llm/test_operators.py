@@ -5,8 +5,10 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -310,6 +312,21 @@ def test_ann_recall(spark):
     assert hits / total >= 0.9
 
 
+def test_ann_visits_all_lists_within_the_ratio():
+    rng = np.random.default_rng(3)
+    centroids, x = rng.normal(size=(300, 64)), rng.normal(size=(50, 64))
+    run = ann._lists(SimpleNamespace(value=("test", np.column_stack((centroids, np.zeros(300))))), 1.0, 1.2, 16, None, True)
+    rows = pa.RecordBatch.from_arrays([pa.array(range(50)), pa.array(x.tolist())], names=["id", "vec"])
+    got = defaultdict(set)
+    for batch in run(iter([rows])):
+        for at, i in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            got[i].add(at)
+    dist = np.linalg.norm(x[:, None] - centroids[None], axis=2)
+    assert max(len(g) for g in got.values()) > 64
+    for i, d in enumerate(dist):
+        assert set(np.flatnonzero(d <= 1.2 * d.min())) | set(np.argsort(d)[:16]) == got[i]
+
+
 def test_ann_edges(spark):
     rng = np.random.default_rng(1)
     rows = [(i, rng.normal(size=4).tolist() if i % 3 else [1.0, 2.0, 0.5, 0.0]) for i in range(90)]
