@@ -38,7 +38,7 @@ BASE = {
 }
 #: Forms that the base patterns don't take: written-out signs in addresses, a letter-free grouping, numbers without a plus.
 LOOSE = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?(?:\[at\]|\(at\)| at ) ?[A-Za-z0-9-]{1,63}+(?: ?(?:\[dot\]|\(dot\)| dot |\.) ?[A-Za-z0-9-]{1,63}+){1,4}+",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?(?i:\[at\]|\(at\)| at ) ?[A-Za-z0-9-]{1,63}+(?: ?(?i:\[dot\]|\(dot\)| dot |\.) ?[A-Za-z0-9-]{1,63}+){1,4}+",
     "ip": r"(?<![0-9A-Fa-f:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:.])",
     "card": r"(?<![0-9A-Za-z.])(?:[0-9]{4}[./_]){3}[0-9]{4}(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z+(.-])(?:00[1-9][0-9]{0,2}[ .-]|\([0-9]{2,4}\) ?|0[0-9]{1,4}[ ./-])[0-9]{2,5}(?:[ .-][0-9]{2,5}){1,3}(?![0-9A-Za-z-])",
@@ -107,7 +107,7 @@ def base_spans(text: Column) -> Column:
 
 def _loose_spans(text: Column) -> Column:
     none = F.array().cast("array<struct<kind:string,s:int,e:int,t:string>>")
-    possible = {"email": text.rlike(r"\[at\]|\(at\)| dot |\[dot\]|\(dot\)"), "ip": text.rlike("[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:"), "card": text.rlike("[0-9]{4}[./_][0-9]{4}"), "phone": text.rlike("[0-9][ ./)-] ?[0-9]{2}")}
+    possible = {"email": text.rlike(r"(?i)\[at\]|\(at\)| at "), "ip": text.rlike("[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:"), "card": text.rlike("[0-9]{4}[./_][0-9]{4}"), "phone": text.rlike("[0-9][ ./)-] ?[0-9]{2}")}
     return F.concat(*[F.when(possible[k], _spans(text, k, LOOSE[k])).otherwise(none) for k in KINDS])
 
 

@@ -399,6 +399,14 @@ def test_pii_added_and_mask(spark):
     assert pii.digest(empty(spark)).count() == 0
 
 
+def test_pii_loose_addresses_need_no_brackets(spark):
+    texts = ["write anna at mail.com now", "anna [AT] mail (DOT) com", "anna AT mail dot com", "anna (at) mail.com", "nothing here"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: [x.t for x in r.spans] for r in docs.select("doc_id", pii._loose_spans(F.col("text")).alias("spans")).collect()}
+    assert [len(got[i]) for i in range(5)] == [1, 1, 1, 1, 0]
+    assert "anna at mail.com" in got[0][0]
+
+
 # ---- mixing
 
 
