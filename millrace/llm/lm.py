@@ -1,25 +1,31 @@
 """LM scoring by a probabilistic suffix tree.
 
-Counts of words and of word sequences come from all training texts. A sequence of 2 to `depth` + 1 words enters if it occurs LEAST times,
-whatever the corpus. A context is retained if the divergence of its next-symbol counts from what the next shorter retained context
-predicts is worth its size; nothing else is pruned. A token's probability is that of the longest retained suffix of what stands before it:
-the discounted share of the symbol plus the discounted mass times the shorter suffix's probability, down to (c + 1) / (N + V + 1). Each
-distribution sums to 1 with one unseen symbol.
+Every sequence of up to `depth` + 1 words of the training texts that occurs LEAST times enters, whatever the corpus. A context is
+retained if the divergence of its next-symbol counts from what the next shorter context predicts is worth its size; nothing else is
+pruned. A token's probability is that of the longest retained suffix of what stands before it: the discounted share of the symbol plus
+the discounted mass times the shorter suffix's probability, down to (c + 1) / (N + V + 1). Each distribution sums to 1 with one unseen
+symbol.
 
-Sequences and contexts are distributed tables. As logarithms, what a sequence adds to a text's score depends on that sequence alone: the
-gain over the shorter suffix's prediction, plus the mass it leaves as a context; so a score is a sum over a join. Training texts of up to
-SMALL tokens have the same tree as arrays in memory. A bit table of fixed size spares the shuffles most sequences that aren't in; what it
-lets through wrongly, counts and joins reject.
+The tree is never in one place. Every token, with the words before it, is a window, and all contexts that end in one word are a subtree:
 
-The most frequent words, HEAD at most, are looked up in a broadcast table of at most HEAD rows; all others by a join, in
-which no known word has many rows, for a word with many is in the table.
+1. Words are counted; the HEAD most frequent are numbered by rank in a broadcast table. Texts are written once as numbers, in steps of
+   about STEP tokens. A step is told the counts of its rarer words by a join.
+2. A context with more than `limit` windows is hot. Steps ask for the counts of their distinct (hot context, word) pairs, pairs are
+   summed, and the answers go back to the steps; so no task holds a hot context's windows. This is repeated one word deeper as long
+   as there are hot contexts. Of hot contexts, HOT at most, one line of statistics each is broadcast.
+3. Windows go to the bucket of their shortest context that isn't hot, once, packed. A bucket counts, tests and scores its subtree, and
+   returns sums by text.
+
+Sums are of whole multiples of 2^-32, so reruns agree whatever the order.
 
 Tokens: ASCII-lower-cased runs of `[^\\x20\\x09-\\x0D]`, then one end per text. A null or empty text is the end token alone. Words are
-told apart by 64-bit hashes. Repeated rows are each counted and answered. Without training rows all scores are 0.
+told apart by 63-bit hashes. Repeated rows are each counted and answered. Without training rows all scores are those of an empty count.
+Null ids stay null; ids keep their type; other columns aren't read.
 """
 
 from __future__ import annotations
 
+import pickle
 from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -28,442 +34,636 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import byte_texts, crc_mod, give_back, materialize
 
-LEAST, HEAD, SMALL = 2, 500_000, 1_000_000
-#: Sequences whose values are looked up in a broadcast table, at most; the bit table's size is 2 ** BITS.
-HEAD_VALUES, BITS, PIECE = 200_000, 27, 21
-DISCOUNT, PENALTY = 0.5, 2.0
-#: Words that a worker remembers; beyond it, it starts anew. Tokens of one counting step.
-CACHE, STEP = 400_000, 1_000_000
-_END = -1
+LEAST, DISCOUNT, PENALTY = 2, 0.5, 2.0
+HEAD, HOT = 2_000_000, 1_000_000
+#: Tokens of a step, windows of a bucket on average, and windows that a bucket may get from one context.
+STEP, BUCKET, LIMIT = 1_000_000, 1 << 20, 1 << 22
+#: Words that a worker remembers; beyond it, it starts anew. Groups of steps that sums are collected by.
+CACHE, SLOTS = 400_000, 4096
+SCALE = float(1 << 32)
+_END, _ROWS = 2, 21
 
 
-class _Codes(dict):
-    """Number of a word in the head table, or else its hash, which is negative."""
+# ---- packed columns
 
-    def __init__(self, head: np.ndarray | None = None):
-        super().__init__()
-        self.head = array("q", np.empty(0, np.int64).tobytes() if head is None else head.tobytes())
-        self.end = self._place(_END)
 
-    def _place(self, code: int) -> int:
-        at = bisect_left(self.head, code)
-        return at if at < len(self.head) and self.head[at] == code else code
+def _pack(columns: list[np.ndarray]) -> bytes:
+    """Columns as compressed byte planes; planes of zeros take nothing."""
+    z, out = zstandard.ZstdCompressor(level=1), []
+    for x in columns:
+        planes = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize).T
+        out.append((x.dtype.str, len(x), [z.compress(p.tobytes()) if p.any() else b"" for p in planes]))
+    return pickle.dumps(out, protocol=5)
+
+
+def _unpack(blob: bytes) -> list[np.ndarray]:
+    z, out = zstandard.ZstdDecompressor(), []
+    for kind, n, planes in pickle.loads(blob):
+        x = np.zeros((n, len(planes)), np.uint8)
+        for i, p in enumerate(planes):
+            if p:
+                x[:, i] = np.frombuffer(z.decompress(p), np.uint8)
+        out.append(x.reshape(-1).view(kind))
+    return out
+
+
+def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """64-bit hash of two numbers."""
+    x = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x ^= b.astype(np.uint64) + np.uint64(0xD1B54A32D192ED03) + (x << np.uint64(6)) + (x >> np.uint64(2))
+    for m in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x ^= x >> np.uint64(33)
+        x *= np.uint64(m)
+    return (x ^ (x >> np.uint64(33))).astype(np.int64)
+
+
+def _bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
+    return (key.astype(np.uint64) >> np.uint64(8)) % np.uint64(buckets)
+
 
+# ---- words
+
+
+class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHE:
             self.clear()
-        value = self[word] = self._place(-2 - (xxhash.xxh64_intdigest(word) >> 1))
+        value = self[word] = int.from_bytes(xxhash.xxh64_digest(word), "big", signed=True) & -2
         return value
 
 
-def _tokens(raws: list[bytes | None], codes: _Codes) -> tuple[np.ndarray, np.ndarray]:
+class Head(NamedTuple):
+    """Frequent words: hashes sorted, the rank of each (from 1), and by rank the counts in training texts and in all."""
+
+    hashes: np.ndarray
+    rank: np.ndarray
+    train: np.ndarray
+    both: np.ndarray
+
+
+class _Ranks(dict):
+    """A frequent word's rank; another's number among the step's other words, behind all ranks."""
+
+    def __init__(self, head: Head):
+        super().__init__()
+        self.hashes, self.rank = array("q", head.hashes.astype(np.int64).tobytes()), head.rank
+        self.other: dict[int, int] = {}
+        self.end = self.of(_END)
+
+    def of(self, h: int) -> int:
+        at = bisect_left(self.hashes, h)
+        if at < len(self.hashes) and self.hashes[at] == h:
+            return int(self.rank[at])
+        return len(self.hashes) + 1 + self.other.setdefault(h, len(self.other))
+
+    def __missing__(self, word: bytes) -> int:
+        value = self.of(int.from_bytes(xxhash.xxh64_digest(word), "big", signed=True) & -2)
+        if value <= len(self.hashes):
+            if len(self) >= CACHE:
+                self.clear()
+            self[word] = value
+        return value
+
+
+def _tokens(raws: list[bytes | None], codes: dict, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Codes of all texts' tokens, and each text's number of tokens, its end included."""
-    sizes = np.empty(len(raws), np.int64)
-    parts = []
+    sizes, parts = np.empty(len(raws), np.int64), []
     for i, raw in enumerate(raws):
         words = raw.lower().split() if raw else []
         own = np.empty(len(words) + 1, np.int64)
         own[:-1] = np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
-        own[-1] = codes.end
+        own[-1] = end
         parts.append(own)
         sizes[i] = len(own)
     return np.concatenate(parts), sizes
 
 
-def _steps(raws: list[bytes | None]) -> Iterator[list[bytes | None]]:
-    held, n = [], 0
-    for raw in raws:
-        held.append(raw)
+def _steps(raws: list[bytes | None]) -> Iterator[tuple[int, int]]:
+    begin = n = 0
+    for i, raw in enumerate(raws):
         n += len(raw or b"") // 6 + 1
         if n >= STEP:
-            yield held
-            held, n = [], 0
-    if held:
-        yield held
+            yield begin, i + 1
+            begin, n = i + 1, 0
+    if begin < len(raws):
+        yield begin, len(raws)
 
 
-class Level(NamedTuple):
-    """Sequences of one length: sorted codes (number of the sequence without its last word x WIDTH + last word's number) and counts."""
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes = _Hashes()
+    for batch in batches:
+        raws, train = byte_texts(batch.column(0)), np.asarray(batch.column(1))
+        for a, b in _steps(raws):
+            tokens, sizes = _tokens(raws[a:b], hashes, _END)
+            words, counts = np.unique(tokens | np.repeat(train[a:b], sizes), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(words & -2), pa.array(counts * (words & 1)), pa.array(counts)], names=["w", "t", "a"])
+    hashes.clear()
+    give_back()
+
+
+def _head(counted: DataFrame) -> tuple[Head, bool]:
+    """The most frequent words, HEAD at most; and whether these are all that occur twice."""
+    least, n, complete = 2, 0, True
+    many = counted.filter("a > 1").groupBy("a").count().orderBy(F.desc("a"))
+    for a, k in many.limit(HEAD + 1).toLocalIterator():
+        if n + k > HEAD:
+            least, complete = a + 1, False
+            break
+        n += k
+    t = counted.filter(F.col("a") >= least).toArrow()
+    w, train, both = (np.asarray(t.column(c)).astype(np.int64) for c in ("w", "t", "a"))
+    order = np.lexsort((w, -both))
+    w, train, both = w[order], train[order], both[order]
+    by_hash = np.argsort(w)
+    zero = np.zeros(1, np.int64)
+    return Head(w[by_hash], (by_hash + 1).astype(np.int32), np.concatenate((zero, train)), np.concatenate((zero, both))), complete
 
-    codes: np.ndarray
-    counts: np.ndarray
 
+def _write_steps(held, names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, complete = held.value
+        ranks, step = None, TaskContext.get().partitionId() << 20
+        for batch in batches:
+            raws, flags = byte_texts(batch.column(1)), np.asarray(batch.column(2))
+            ranks = ranks or _Ranks(head)
+            for a, b in _steps(raws):
+                ranks.other.clear()
+                ranks.end = ranks.of(_END)
+                tokens, sizes = _tokens(raws[a:b], ranks, ranks.end)
+                other = np.fromiter(ranks.other, np.int64, len(ranks.other))
+                told = np.zeros(len(other), np.int64)
+                if complete:  # each of them occurs once
+                    at = np.flatnonzero(tokens > len(head.hashes))
+                    told[tokens[at] - len(head.hashes) - 1] = np.repeat(flags[a:b], sizes)[at]
+                ids = batch.column(0).slice(a, b - a)
+                one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+                columns = [pa.array([step]), one(ids), one(pa.array(sizes)), one(pa.array(flags[a:b])), pa.array([_pack([tokens.astype(np.uint32)])], pa.binary()), one(pa.array(other)), one(pa.array(told)), one(pa.array(np.ones(len(other), np.int64)))]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+                step += 1
+        if ranks:
+            ranks.clear()
+        give_back()
 
-WIDTH = 1 << 21
+    return run
 
 
-class Tree(NamedTuple):
-    head: np.ndarray  # sorted codes of frequent words
-    head_counts: np.ndarray
-    word_of: np.ndarray  # of each of them, its number among the words that sequences are made of; -1 if it isn't one
-    levels: list[Level]
-    share: list[np.ndarray]  # of each level's sequences, the discounted share; 0 where the context isn't retained
-    rest: list[np.ndarray]  # of each level's contexts, the mass left to the shorter suffix; 1 where not retained
-    total: int
-    distinct: int
-    values: DataFrame | None = None  # beyond SMALL: (k, v), what each sequence adds to a score as a logarithm
-    head_keys: np.ndarray = np.empty(0, np.int64)  # the most frequent of them, sorted
-    head_values: np.ndarray = np.empty(0)
-    bits: np.ndarray = np.empty(0, np.uint8)
-    depth: int = 0
+def _tell_rare(coded: DataFrame, counted: DataFrame) -> DataFrame:
+    """Steps with the counts of their words outside the head."""
+    asked = coded.select("step", F.posexplode("other").alias("i", "w"))
+    told = asked.join(counted, "w").groupBy("step").agg(F.array_sort(F.collect_list(F.struct("i", "t", "a"))).alias("x"))
+    out = coded.drop("other_t", "other_a").join(told, "step", "left")
+    told = lambda c: F.coalesce(F.transform("x", lambda x: x[c]), F.array().cast("array<long>")).alias(f"other_{c}")
+    return materialize(out.select(*coded.columns[:6], told("t"), told("a")), "lm-steps")
 
 
-def _find(table: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Positions in a sorted table, -1 where absent."""
-    if not len(table):
-        return np.full(len(x), -1, np.int64)
-    at = np.minimum(np.searchsorted(table, x), len(table) - 1)
-    return np.where(table[at] == x, at, -1)
+# ---- windows
 
 
-def _walk(tokens: np.ndarray, sizes: np.ndarray, word_of: np.ndarray, levels: list[Level]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For lengths 1, 2, ...: the number of the sequence that ends at each token, and of the one that ends before it; -1 if not in.
+class Hot(NamedTuple):
+    """Of the hot contexts of one length: sorted keys, counts, and the mass left to the shorter suffix (1 where not retained)."""
 
-    No sequence goes on after an end.
-    """
-    word = np.full(len(tokens), -1, np.int64)
-    known = tokens >= 0
-    word[known] = word_of[tokens[known]]
-    begins = np.cumsum(sizes) - sizes
-    now = word
-    ahead = np.empty(0, np.int64)
-    for level in [None, *levels]:
-        if level is not None:
-            at = np.flatnonzero((ahead >= 0) & (word >= 0))
-            now = np.full(len(tokens), -1, np.int64)
-            now[at] = _find(level.codes, ahead[at] * WIDTH + word[at])
-        ahead = np.concatenate(([-1], now[:-1]))
-        ahead[begins] = -1
-        yield now, ahead
+    keys: np.ndarray
+    n: np.ndarray
+    keep: np.ndarray
+    rest: np.ndarray
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    codes = _Codes()
-    for batch in batches:
-        for raws in _steps(byte_texts(batch.column(0))):
-            words, counts = np.unique(_tokens(raws, codes)[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(counts.astype(np.int64))], names=["w", "c"])
+class Model(NamedTuple):
+    head: Head
+    total: int
+    distinct: int
+    depth: int
+    limit: int
+    buckets: int
+    hot: list[Hot]
 
 
-def _mix(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
-    """64-bit hash of two codes."""
-    x = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    x ^= np.asarray(b, np.int64).astype(np.uint64) + np.uint64(0xD1B54A32D192ED03) + (x << np.uint64(6)) + (x >> np.uint64(2))
-    for m in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
-        x ^= x >> np.uint64(33)
-        x *= np.uint64(m)
-    return (x ^ (x >> np.uint64(33))).astype(np.int64)
+class Windows(NamedTuple):
+    """Tokens with what stands before them; words as numbers that mean the same everywhere (ranks, or hashes of others)."""
 
+    row: np.ndarray  # of the text
+    train: np.ndarray
+    word: np.ndarray  # 0: occurs less than LEAST times
+    before: list[np.ndarray]  # nearest first; 0: none
+    told: list[np.ndarray]  # counts of the sequences after hot contexts
+    hot: np.ndarray  # how many of the contexts are hot
+    base: np.ndarray  # probability without context
 
-def _slots(keys: np.ndarray) -> np.ndarray:
-    return (_mix(keys, 0).astype(np.uint64) >> np.uint64(64 - BITS)).astype(np.int64)
 
+def _base(t: np.ndarray, model: Model) -> np.ndarray:
+    return (t + 1.0) / (model.total + model.distinct + 1)
 
-def _may_hold(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    slots = _slots(keys)
-    return (bits[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)
 
+def _keys(before: list[np.ndarray]) -> Iterator[np.ndarray]:
+    key = np.zeros(len(before[0]), np.int64)
+    for b in before:
+        key = _mix(key, b)
+        yield key
 
-def _bit_table(keys: DataFrame) -> np.ndarray:
-    """Bits of a column of keys: pieces are set by executors, and have one size for any number of keys."""
 
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            s = np.unique(_slots(np.asarray(batch.column(0))))
-            yield pa.RecordBatch.from_arrays([pa.array(s >> PIECE), pa.array(s & ((1 << PIECE) - 1))], names=["piece", "slot"])
+def _after_hot(w: Windows, model: Model, levels: int | None = None) -> np.ndarray:
+    """Probabilities after the hot contexts."""
+    p, key = w.base.copy(), np.zeros(len(w.row), np.int64)
+    for level, (stats, told, before) in enumerate(zip(model.hot[:levels], w.told, w.before, strict=False), 1):
+        at = np.flatnonzero(w.hot >= level)
+        if not len(at):
+            break
+        key[at] = _mix(key[at], before[at])
+        i = np.searchsorted(stats.keys, key[at])
+        t = told[at]
+        p[at] = np.where(stats.keep[i] & (t >= LEAST), (t - DISCOUNT) / stats.n[i], 0.0) + stats.rest[i] * p[at]
+    return p
+
+
+class Step:
+    """A step's tokens, its hot contexts as far as they are told, and its windows."""
+
+    def __init__(self, model: Model, row: dict):
+        self.model, head = model, model.head
+        (codes,) = _unpack(row["codes"])
+        self.code, self.sizes = codes.astype(np.int64), np.array(row["size"], np.int64)
+        self.step, self.train = row["step"], np.array(row["train"], bool)
+        top = len(head.hashes)
+        self.names = np.concatenate((np.arange(top + 1), np.array(row["other"], np.int64)))
+        self.t = np.concatenate((head.train, np.array(row["other_t"], np.int64)))
+        self.both = np.concatenate((head.both, np.array(row["other_a"], np.int64)))
+        n, depth = len(self.code), model.depth
+        place = np.arange(n) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
+        self.text = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        usable = self.t[self.code] >= LEAST
+        name = self.names[self.code]
+        word = np.where(usable, name, 0)
+        before, ok = [], np.ones(n, bool)
+        for k in range(1, depth + 1):
+            ok[:k] = False
+            ok[k:] &= (place[k:] >= k) & usable[:-k]
+            b = np.zeros(n, np.int64)
+            b[ok] = name[np.flatnonzero(ok) - k]
+            before.append(b)
+        told = [np.zeros(n, np.int64) for _ in range(depth)]
+        base = _base(self.t[self.code], model)
+        self.windows = Windows(self.text, self.train[self.text], word, before, told, np.zeros(n, np.int64), base)
+        self.next_hot = np.zeros(n, bool)
+        self.next_hot[1:] = (before[0][1:] != 0) & (self.both[self.code[:-1]] > model.limit)
+        self.weight = np.zeros(n, np.int64)  # windows of the context that is next
+        self.weight[1:] = self.both[self.code[:-1]]
+        self._keys = _keys(before)
+        self._made: list[np.ndarray] = []
+        for replies in (row[f"told{k}"] for k in range(1, depth + 1)):
+            if replies is None:
+                break
+            self._tell(replies)
+
+    def key(self, level: int) -> np.ndarray:
+        """Of every position, the key of its context of that length."""
+        while len(self._made) < level:
+            self._made.append(next(self._keys))
+        return self._made[level - 1]
+
+    def asked(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+        """Distinct pairs of a next hot context and a word: the first position of each, bucket, counts, positions' pairs, and length."""
+        level = int(self.windows.hot.max(initial=0)) + 1
+        at = np.flatnonzero(self.next_hot)
+        pair = _mix(self.key(level)[at], self.windows.word[at])
+        _, first, which = np.unique(pair, return_index=True, return_inverse=True)
+        first = at[first]
+        spread = 1 + self.weight[first] // BUCKET
+        part = np.abs(_mix(self.windows.word[first], np.full(1, 77))) % spread
+        bucket = _bucket_of(_mix(self.key(level)[first], part), self.model.buckets)
+        order = np.lexsort((self.windows.word[first], self.windows.before[0][first], bucket))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        which = place[which]
+        t = np.bincount(which, self.windows.train[at], len(first)).astype(np.int64)
+        return first[order], bucket[order], t, np.bincount(which, minlength=len(first)), which, level
+
+    def _tell(self, replies: list[dict]) -> None:
+        first, bucket, _, _, which, level = self.asked()
+        t, a = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+        for reply in replies:
+            lo, hi = np.searchsorted(bucket, [reply["bucket"], reply["bucket"] + 1])
+            t[lo:hi], a[lo:hi] = _unpack(reply["blob"])
+        at = np.flatnonzero(self.next_hot)
+        self.windows.told[level - 1][at] = t[which]
+        self.windows.hot[at] = level
+        self.next_hot = np.zeros(len(self.code), bool)
+        self.weight = np.zeros(len(self.code), np.int64)
+        if level < self.model.depth:
+            go = at[(a[which] > self.model.limit) & (at + 1 < len(self.code))]
+            weight = dict(zip(at.tolist(), a[which].tolist(), strict=True)) if len(go) else {}
+            go = go[self.windows.before[level][go + 1] != 0] + 1
+            self.next_hot[go] = True
+            self.weight[go] = [weight[i - 1] for i in go.tolist()]
+
+    def packed(self, at: np.ndarray, bucket: np.ndarray, more: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
+        """(bucket, blob) of the windows at positions; bucket is sorted. Other words than ranks go with their counts."""
+        w, top = self.windows, len(self.model.head.hashes)
+        words = [np.where(x[at] == 0, 0, self.code[at - k]) for k, x in enumerate([w.word, *w.before])]
+        columns = [np.zeros(len(at), np.int64) if more else w.row[at], w.train[at], w.hot[at], *(t[at] for t in w.told), *more]
+        edges = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(bucket) else []
+        for lo, hi in zip(edges, edges[1:], strict=False):
+            own = np.array([x[lo:hi] for x in words])
+            other = np.unique(own[own > top])
+            if len(other):
+                own = np.where(own > top, top + 1 + np.searchsorted(other, own), own)
+            row = np.diff(columns[0][lo:hi], prepend=0)
+            rest = [c[lo:hi] for c in columns[1:]]
+            blob = _pack([row.astype(np.uint32), rest[0].astype(np.uint8), *(x.astype(np.uint32) for x in own), *(x.astype(np.uint32) for x in rest[1:]), self.names[other], self.t[other]])
+            yield int(bucket[lo]), blob
+
+
+def _opened(blobs: list[tuple[int, bytes]], model: Model) -> tuple[Windows, list[np.ndarray], np.ndarray]:
+    """The windows of (step, blob)s, further columns, and each blob's number of windows. Rows are step x 2^21 + text."""
+    parts, top, depth = [], len(model.head.hashes), model.depth
+    for step, blob in blobs:
+        row, train, *columns, names, counts = _unpack(blob)
+        words = [x.astype(np.int64) for x in columns[: depth + 1]]
+        base = np.where(words[0] > top, 0, model.head.train[np.minimum(words[0], top)])
+        if len(names):
+            other = words[0] > top
+            base[other] = counts[words[0][other] - top - 1]
+            words = [np.where(x > top, names[np.maximum(x - top - 1, 0)], x) for x in words]
+        parts.append([(step << _ROWS) + np.cumsum(row.astype(np.int64)), train.view(bool), *words, *columns[depth + 1 :], base])
+    row, train, word, *columns, t = [np.concatenate(x) for x in zip(*parts, strict=True)]
+    before, hot, told, more = columns[:depth], columns[depth], columns[depth + 1 : 2 * depth + 1], columns[2 * depth + 1 :]
+    told = [x.astype(np.int64) for x in told]
+    return Windows(row, train, word, before, told, hot.astype(np.int64), _base(t, model)), more, np.array([len(p[0]) for p in parts])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[int, bytes]]]]:
+    """Runs of rows (group, step, blob) of one group; the rows are sorted by group."""
+    now, held = None, []
+    for batch in batches:
+        for group, step, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if group != now and held:
+                yield now, held
+                held = []
+            now = group
+            held.append((step, blob))
+    if held:
+        yield now, held
 
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: dict[int, np.ndarray] = {}
-        for batch in batches:
-            at, slot = np.asarray(batch.column(0)), np.asarray(batch.column(1))
-            for i in np.unique(at).tolist():
-                own.setdefault(i, np.zeros(1 << PIECE, bool))[slot[at == i]] = True
-        for i, b in own.items():
-            yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([np.packbits(b, bitorder="little").tobytes()], pa.binary())], names=["piece", "bits"])
 
-    bits, size = np.zeros(1 << (BITS - 3), np.uint8), 1 << (PIECE - 3)
-    for r in keys.mapInArrow(slots, "piece long, slot long").repartition(1 << (BITS - PIECE), "piece").mapInArrow(pieces, "piece long, bits binary").collect():
-        bits[r.piece * size : (r.piece + 1) * size] = np.frombuffer(r.bits, np.uint8)
-    return bits
+def _each_step(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Step, dict]]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            yield Step(model, row), row
+
+
+_BLOBS = "bucket long, step long, blob binary"
 
 
-def _longer(now: np.ndarray, place: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of hashes of sequences one shorter, by their last token: the positions of the longer ones, and their contexts and suffixes."""
-    at = np.flatnonzero(place >= length - 1)
-    return at, now[at - 1], now[at]
+def _blobs(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    a, b, c = zip(*rows, strict=True) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.binary())], names=["bucket", "step", "blob"])
 
 
-def _places(sizes: np.ndarray) -> np.ndarray:
-    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+def _ask(held):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s, _ in _each_step(held.value, batches):
+            first, bucket, t, a, _, _ = s.asked()
+            yield _blobs([(b, s.step, blob) for b, blob in s.packed(first, bucket, [t, a])])
+        give_back()
+
+    return run
 
 
-def _count_pairs(held, length: int):
-    """(context, suffix, count) of the sequences of a length; those left out have a context or suffix below LEAST."""
+def _answer(held):
+    """Replies (bucket, step, blob), and rows of statistics by context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, often, bits = held.value
-        words = _Codes(head)
-        for batch in batches:
-            for raws in _steps(byte_texts(batch.column(0))):
-                now, sizes = _tokens(raws, words)
-                place = _places(sizes)
-                for n in range(2, length):
-                    at, a, b = _longer(now, place, n)
-                    now = np.zeros(len(now), np.int64)
-                    now[at] = _mix(a, b)
-                ok = _may_hold(bits, now)
-                if length == 2:
-                    ok[now >= 0] = often[now[now >= 0]]
-                at, a, b = _longer(now, place, length)
-                is_in = ok[at - 1] & ok[at]
-                a, b = a[is_in], b[is_in]
-                order = np.lexsort((b, a))
-                a, b = a[order], b[order]
-                first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))[: len(a)])
-                yield pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(b[first]), pa.array(np.diff(np.append(first, len(a))))], names=["a", "b", "c"])
-        words.clear()
+        model: Model = held.value
+        level = len(model.hot) + 1
+        for bucket, blobs in _gathered(batches):
+            w, (t, a), sizes = _opened(blobs, model)
+            p = _after_hot(w, model)
+            *_, key = _keys(w.before[:level])
+            _, first, which = np.unique(_mix(key, w.word), return_index=True, return_inverse=True)
+            t, a = (np.bincount(which, x, len(first)).astype(np.int64) for x in (t, a))
+            keys, c = np.unique(key[first], return_inverse=True)
+            total = lambda x: np.bincount(c, x, len(keys))  # noqa: B023, E731
+            n = total(t)
+            t, a = (np.where(w.word[first] != 0, x, 0) for x in (t, a))
+            most = np.zeros(len(keys), np.int64)
+            np.maximum.at(most, c, a)
+            ends = np.cumsum(sizes)
+            rows = [(step, _pack([t[which[e - n : e]], a[which[e - n : e]]])) for (step, _), n, e in zip(blobs, sizes, ends, strict=True)]
+            in_it, q = t >= LEAST, p[first]
+            stats = [most, n, total(in_it), total(t * in_it), total(np.where(in_it, t * np.log(np.maximum(t, 1) / q), 0.0)), total(np.where(in_it, q, 0.0))]
+            m, k = len(rows), len(keys)
+            columns = [pa.array([bucket] * m + [None] * k, pa.int64()), pa.array([r[0] for r in rows] + [None] * k, pa.int64()), pa.array([r[1] for r in rows] + [None] * k, pa.binary()), pa.array([None] * m + keys.tolist(), pa.int64())]
+            columns += [pa.array([None] * m + x.astype(float).tolist(), pa.float64()) for x in stats]
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "step", "blob", "key", "most", "n", "rows", "seen", "g", "theirs"])
         give_back()
 
     return run
 
 
-def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        a, b, c = batch.columns
-        yield pa.RecordBatch.from_arrays([pa.array(_mix(np.asarray(a), np.asarray(b))), a, b, c], names=["k", "a", "b", "c"])
+def _worth(n, rows, seen, g, theirs):
+    """Whether contexts are retained, by the divergence of their counts from the shorter suffix's predictions."""
+    seen_log = np.where(seen > 0, seen * np.log(np.maximum(n, 1)), 0.0)
+    left = n - seen
+    gain = g - seen_log + left * (np.log(np.maximum(1 - seen / np.maximum(n, 1), 1e-12)) - np.log(np.maximum(1 - theirs, 1e-12)))
+    return (rows > 0) & (gain > PENALTY * np.maximum(rows, 1))
+
 
+def _tell_hot(coded: DataFrame, model: Model) -> tuple[DataFrame, Model, bool]:
+    """One length more of hot contexts: steps with their answers, the contexts' statistics, and whether there are longer ones."""
+    level, sc = len(model.hot) + 1, coded.sparkSession.sparkContext
+    held = sc.broadcast(model)
+    asked = coded.drop("id").mapInArrow(_ask(held), _BLOBS).repartition(_parts(model), "bucket").sortWithinPartitions("bucket")
+    got = materialize(asked.mapInArrow(_answer(held), f"{_BLOBS}, key long, most double, n double, rows double, seen double, g double, theirs double"), "lm-hot")
+    sums = got.filter("key is not null").groupBy("key").agg(F.max("most"), *[F.sum(c) for c in ("n", "rows", "seen", "g", "theirs")]).toArrow()
+    order = np.argsort(np.asarray(sums.column(0)))
+    key, most, n, rows, seen, g, theirs = (np.asarray(c)[order] for c in sums.columns)
+    keep = _worth(n, rows, seen, g, theirs)
+    hot = Hot(key, n, keep, np.where(keep, 1 - (seen - DISCOUNT * rows) / np.maximum(n, 1), 1.0))
+    replies = got.filter("key is null").groupBy("step").agg(F.collect_list(F.struct("bucket", "blob")).alias("_told"))
+    told = coded.join(replies, "step", "left").withColumn(f"told{level}", F.coalesce("_told", F.array().cast("array<struct<bucket:bigint,blob:binary>>"))).drop("_told")
+    return materialize(told.select(*coded.columns), "lm-steps"), model._replace(hot=[*model.hot, hot]), bool((most > model.limit).any())
 
-def _numbered(held):
-    """Words' hashes as `_Codes` gives them."""
+
+def _parts(model: Model) -> int:
+    return min(model.buckets, 20_000)
+
+
+def _send(held):
+    """Every window to the bucket of its shortest context that isn't hot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = held.value[0]
-        for batch in batches:
-            w = np.asarray(batch.column(0))
-            at = _find(head, w)
-            yield pa.RecordBatch.from_arrays([pa.array(np.where(at >= 0, at, w)), batch.column(1)], names=["k", "c"])
+        model: Model = held.value
+        for s, _ in _each_step(model, batches):
+            w = s.windows
+            at = np.flatnonzero(w.before[0])
+            key = s.key(1)[at]
+            hot = w.hot[at]
+            for level in range(1, model.depth + 1):
+                here = hot == level
+                if here.any():
+                    there = at[here]
+                    cold = (w.before[level][there] != 0) if level < model.depth else np.zeros(len(there), bool)
+                    # Where the contexts end with a hot one, nothing is left to count, and any bucket will do.
+                    key[here] = np.where(cold, s.key(min(level + 1, model.depth))[there], _mix(s.key(level)[there], there))
+            bucket = _bucket_of(key, model.buckets)
+            order = np.argsort(bucket.astype(np.uint32), kind="stable")
+            yield _blobs([(b, s.step, blob) for b, blob in s.packed(at[order], bucket[order], [])])
+            del s, w
+        give_back()
 
     return run
 
 
-def _least(counted: DataFrame, most: int) -> int:
-    """The smallest count such that at most so many rows have it or more."""
-    least, n = 1 << 62, 0
-    for c, k in counted.groupBy("c").count().orderBy(F.desc("c")).limit(most).toLocalIterator():
-        if n + k > most:
-            break
-        least, n = c, n + k
-    return least
-
-
-def _fit_tables(texts: DataFrame, counted: DataFrame, head: np.ndarray, head_counts: np.ndarray, total: int, distinct: int, depth: int) -> Tree:
-    """What `fit` does in memory, by joins."""
-    sc = texts.sparkSession.sparkContext
-    bits = _bit_table(counted.filter(F.col("c") >= LEAST).select("w"))
-    often = head_counts >= LEAST
-    held = sc.broadcast((head, often, bits))
-    known = counted.filter(F.col("c") >= LEAST).mapInArrow(_numbered(held), "k long, c long")
-    known = known.withColumn("p", (F.col("c") + 1) / F.lit(float(total + distinct + 1)))
-    parts = []
-    for length in range(2, depth + 2):
-        pairs = texts.mapInArrow(_count_pairs(held, length), "a long, b long, c long").groupBy("a", "b").agg(F.sum("c").alias("c")).filter(F.col("c") >= LEAST)
-        pairs = materialize(pairs.mapInArrow(_hashed, "k long, a long, b long, c long"), "sequences")
-        pairs = materialize(pairs.join(known.select(F.col("k").alias("b"), F.col("p").alias("s")), "b").select("k", "a", "c", "s"), "suffixes")
-        sums = pairs.groupBy("a").agg(F.sum("c").alias("seen"), F.count(F.lit(1)).alias("rows"), F.sum(F.col("c") * F.ln(F.col("c") / F.col("s"))).alias("g"), F.sum("s").alias("theirs"))
-        sums = sums.join(known.select(F.col("k").alias("a"), F.col("c").alias("n")), "a")
-        tiny = lambda c: F.ln(F.greatest(c, F.lit(1e-12)))
-        gain = F.col("g") - F.col("seen") * F.ln("n") + F.greatest(F.col("n") - F.col("seen"), F.lit(0)) * (tiny(1 - F.col("seen") / F.col("n")) - tiny(1 - F.col("theirs")))
-        kept = materialize(sums.filter(gain > PENALTY * F.col("rows")).select("a", "n", (1 - (F.col("seen") - DISCOUNT * F.col("rows")) / F.col("n")).alias("r")), "contexts")
-        p = F.coalesce((F.col("c") - DISCOUNT) / F.col("n"), F.lit(0.0)) + F.coalesce("r", F.lit(1.0)) * F.col("s")
-        level = pairs.join(kept, "a", "left").select("k", "c", p.alias("p"), F.log10(p / (F.col("r") * F.col("s"))).alias("v"))
-        level = materialize(level, "level")
-        parts += [kept.select(F.col("a").alias("k"), F.log10("r").alias("v"), F.col("n").alias("c")), level.filter(F.col("v").isNotNull()).select("k", "v", "c")]
-        if length <= depth:
-            held = sc.broadcast((head, often, _bit_table(level.select("k"))))
-        known = level.select("k", "c", "p")
-    values = parts[0]
-    for part in parts[1:]:
-        values = values.unionByName(part)
-    values = materialize(values.groupBy("k").agg(F.sum("v").alias("v"), F.max("c").alias("c")), "values")
-    least = _least(values, HEAD_VALUES)
-    t = values.filter(F.col("c") >= least).select("k", "v").toArrow()
-    k, v = np.asarray(t.column(0)).astype(np.int64), np.asarray(t.column(1)).astype(float)
-    order = np.argsort(k)
-    rest = values.filter(F.col("c") < least).select("k", "v")
-    return Tree(head, head_counts, np.full(len(head), -1), [], [], [], total, distinct, rest, k[order], v[order], _bit_table(rest.select("k")), depth)
-
-
-def _count_sequences(held):
-    """Codes of the next longer sequences whose context and suffix are in."""
+def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of rows by key, where each run begins in it, and the runs' numbers in that order."""
+    order = np.argsort(key)
+    x = key[order]
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:] != x[:-1]
+    return order, np.flatnonzero(new), np.cumsum(new) - 1
 
+
+def _paired(ctx: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """One number for a context's and a word's."""
+    if len(word) and (word.min() < 0 or word.max() >= 1 << 31):
+        word = np.unique(word, return_inverse=True)[1]
+    return ctx << 32 | word
+
+
+def subtree(w: Windows, model: Model) -> np.ndarray:
+    """Logarithm of each window's probability over that without context. All windows of the contexts that aren't hot are here."""
+    p = _after_hot(w, model)
+    at, ctx = np.arange(len(w.row)), np.zeros(len(w.row), np.int64)
+    for level in range(1, model.depth + 1):
+        b = w.before[level - 1][at]
+        ok = b != 0
+        at, ctx = at[ok], ctx[ok]
+        if not len(at):
+            break
+        order, start, run = _runs(_paired(ctx, b[ok]))
+        at, ctx = at[order], run
+        mine = w.hot[at] < level
+        n = np.add.reduceat(w.train[at].astype(np.int64), start)
+        # Sequences: the context and the word, of which only those with a number can occur LEAST times.
+        can = np.flatnonzero(mine & (w.word[at] != 0) & (n[ctx] >= LEAST))
+        size = len(start)
+        share, rest = np.zeros(len(at)), np.ones(size)
+        if len(can):
+            order, begin, seq = _runs(_paired(ctx[can], w.word[at[can]]))
+            where = can[order]
+            c = np.add.reduceat(w.train[at[where]].astype(np.int64), begin)
+            head = where[begin]
+            owner, q, in_it = ctx[head], p[at[head]], c >= LEAST
+            total = lambda x: np.bincount(owner, x, size)  # noqa: B023, E731
+            seen, rows = total(c * in_it), total(in_it)
+            g, theirs = total(np.where(in_it, c * np.log(np.maximum(c, 1) / q), 0.0)), total(np.where(in_it, q, 0.0))
+            keep = _worth(n, rows, seen, g, theirs)
+            rest = np.where(keep, 1 - (seen - DISCOUNT * rows) / np.maximum(n, 1), 1.0)
+            cut = np.where(in_it & keep[owner], (c - DISCOUNT) / np.maximum(n[owner], 1), 0.0)
+            share[where] = cut[seq]
+        p[at] = np.where(mine, share + rest[ctx] * p[at], p[at])
+        alive = ~mine | (n[ctx] >= LEAST)
+        at, ctx = at[alive], ctx[alive]
+    return np.log10(p / w.base)
+
+
+def _score_buckets(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, word_of, levels = held.value
-        words = _Codes(head)
-        for batch in batches:
-            for raws in _steps(byte_texts(batch.column(0))):
-                tokens, sizes = _tokens(raws, words)
-                *_, (now, ahead) = _walk(tokens, sizes, word_of, levels)
-                at = np.flatnonzero((ahead >= 0) & (now >= 0))
-                codes, counts = np.unique(ahead[at] * WIDTH + word_of[tokens[at]], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts.astype(np.int64))], names=["w", "c"])
+        model: Model = held.value
+        for _, blobs in _gathered(batches):
+            w, _, _ = _opened(blobs, model)
+            gain = np.rint(subtree(w, model) * SCALE).astype(np.int64)
+            some = np.flatnonzero(gain)
+            order, start, _ = _runs(w.row[some])
+            if len(start):
+                gain, row = np.add.reduceat(gain[some][order], start), w.row[some][order][start]
+                slot = (row >> _ROWS) % SLOTS
+                order = np.argsort(slot, kind="stable")
+                gain, row, slot = gain[order], row[order], slot[order]
+                edges = np.flatnonzero(np.concatenate(([True], slot[1:] != slot[:-1], [True])))
+                yield _blobs([(int(slot[a]), 0, _pack([np.diff(row[a:b], prepend=0), gain[a:b]])) for a, b in zip(edges, edges[1:], strict=False)])
+            give_back()
 
     return run
 
 
-def _table(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Of a (w, c) table with a proven bound, the sorted keys and counts."""
-    t = rows.toArrow()
-    w, c = np.asarray(t.column(0)), np.asarray(t.column(1))
-    order = np.argsort(w)
-    return w[order].astype(np.int64), c[order].astype(np.int64)
-
-
-def fit(texts: DataFrame, depth: int = 3) -> tuple[Tree, DataFrame]:
-    """The tree, and all words' counts (w, c). texts: one column."""
-    sc = texts.sparkSession.sparkContext
-    counted = materialize(texts.mapInArrow(_count_words, "w long, c long").groupBy("w").agg(F.sum("c").alias("c")), "words")
-    total, distinct = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    # The largest set of most frequent words within HEAD, from the counts of counts.
-    least, n = 1, 0
-    if distinct > HEAD:
-        for c, k in counted.groupBy("c").count().orderBy(F.desc("c")).limit(HEAD).toLocalIterator():
-            if n + k > HEAD:
-                break
-            least, n = c, n + k
-    head, head_counts = _table(counted.filter(F.col("c") >= least))
-    if distinct > HEAD or total > SMALL:
-        return _fit_tables(texts, counted, head, head_counts, total, distinct, depth), counted
-    word_of = np.where(head_counts >= LEAST, np.cumsum(head_counts >= LEAST) - 1, -1)
-    word_counts = head_counts[head_counts >= LEAST]
-    levels: list[Level] = []
-    counts = word_counts
-    for _ in range(depth):
-        held = sc.broadcast((head, word_of, levels))
-        level = Level(*_table(texts.mapInArrow(_count_sequences(held), "w long, c long").groupBy("w").agg(F.sum("c").alias("c")).filter(F.col("c") >= LEAST)))
-        levels = [*levels, level]
-        counts = level.counts
-    share, rest = _retain(word_counts, levels, total, distinct)
-    return Tree(head, head_counts, word_of, levels, share, rest, total, distinct), counted
-
-
-def _retain(word_counts: np.ndarray, levels: list[Level], total: int, distinct: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Discounted shares and left-over masses, with what the divergence test doesn't retain taken out."""
-    share, rest, contexts = [], [], word_counts
-    lower = (word_counts + 1) / (total + distinct + 1)  # probabilities of the sequences one shorter
-    suffix = np.zeros(0, np.int64)  # of each context, its number without its first word
-    for d, level in enumerate(levels):
-        ctx, last = level.codes // WIDTH, level.codes % WIDTH
-        own_suffix = last if d == 0 else _find(levels[d - 1].codes, suffix[ctx] * WIDTH + last)
-        shorter, n, size = lower[own_suffix], contexts[ctx].astype(float), len(contexts)
-        p = level.counts / n
-        seen, rows = np.bincount(ctx, level.counts, size), np.bincount(ctx, minlength=size)
-        gain = np.bincount(ctx, level.counts * np.log(p / shorter), size)
-        mine, theirs = 1 - np.bincount(ctx, p, size), 1 - np.bincount(ctx, shorter, size)
-        left = np.maximum(contexts - seen, 0)
-        gain = gain + left * np.log(np.maximum(mine, 1e-12) / np.maximum(theirs, 1e-12))
-        keep = gain > PENALTY * np.maximum(rows, 1)
-        cut = np.where(keep[ctx], (level.counts - DISCOUNT) / n, 0.0)
-        share.append(cut)
-        rest.append(np.where(keep, 1 - np.bincount(ctx, cut, size), 1.0))
-        lower = cut + rest[-1][ctx] * shorter
-        suffix, contexts = own_suffix, level.counts
-    return share, rest
-
-
-_SCORED = "row long, doc_id long, n_tokens long, head_known long, head_base double, head_score double, tail array<long>, more array<long>"
-
-
-def _values(tree: Tree, tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, pa.ListArray]:
-    """At each token, what the frequent sequences that end there add; and each text's other sequences that may have a value."""
-    gain, texts, keys = np.zeros(len(tokens)), [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    if tree.depth:
-        text, place = np.repeat(np.arange(len(sizes)), sizes), _places(sizes)
-        now, at = tokens, np.arange(len(tokens))
-        for length in range(1, tree.depth + 2):
-            if length > 1:
-                at, a, b = _longer(now, place, length)
-                now = np.zeros(len(tokens), np.int64)
-                now[at] = _mix(a, b)
-            found = _find(tree.head_keys, now[at])
-            gain[at[found >= 0]] += tree.head_values[found[found >= 0]]
-            at = at[found < 0]
-            at = at[_may_hold(tree.bits, now[at])]
-            texts.append(text[at])
-            keys.append(now[at])
-    text, key = np.concatenate(texts), np.concatenate(keys)
-    ends = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=len(sizes)))))
-    return gain, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(key[np.argsort(text, kind="stable")], pa.int64()))
-
-
-def _score(held):
+def _sum_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, blobs in _gathered(batches):
+        parts = [_unpack(blob) for _, blob in blobs]
+        row, gain = np.concatenate([np.cumsum(x) for x, _ in parts]), np.concatenate([x for _, x in parts])
+        order, start, _ = _runs(row)
+        yield pa.RecordBatch.from_arrays([pa.array(row[order][start]), pa.array(np.add.reduceat(gain[order], start))], names=["row", "gain"])
+
+
+def _texts(held, names: list[str]):
+    """One row for each text: what needs no context."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree: Tree = held.value
-        codes, row = _Codes(tree.head), TaskContext.get().partitionId() << 36
+        model: Model = held.value
         for batch in batches:
-            ids, at = batch.column(0), 0
-            for raws in _steps(byte_texts(batch.column(1))):
-                tokens, sizes = _tokens(raws, codes)
-                known = tokens >= 0
-                base = np.ones(len(tokens))
-                base[known] = (tree.head_counts[tokens[known]] + 1.0) / (tree.total + tree.distinct + 1)
-                p = base.copy()  # an unknown word's own factor comes by the join
-                steps = list(_walk(tokens, sizes, tree.word_of, tree.levels))
-                for (_, ahead), (now, _), share, rest in zip(steps, steps[1:], tree.share, tree.rest, strict=False):
-                    c = np.flatnonzero(ahead >= 0)
-                    p[c] *= rest[ahead[c]]
-                    e = np.flatnonzero(now >= 0)
-                    p[e] += share[now[e]]
-                gain, more = _values(tree, tokens, sizes)
+            ids = batch.column(0)
+            for i, row in enumerate(batch.select(range(1, batch.num_columns)).to_pylist()):
+                (codes,) = _unpack(row["codes"])
+                t = np.concatenate((model.head.train, np.array(row["other_t"], np.int64)))[codes.astype(np.int64)]
+                sizes = np.array(row["size"], np.int64)
                 start = np.cumsum(sizes) - sizes
-                add = lambda x: np.add.reduceat(x, start)  # noqa: B023, E731
-                tails = np.concatenate(([0], np.cumsum(add((~known).astype(np.int64)))))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.arange(row, row + len(raws))),
-                        ids.slice(at, len(raws)),
-                        pa.array(sizes),
-                        pa.array(add(known.astype(np.int64))),
-                        pa.array(add(np.where(known, np.log10(base), 0.0))),
-                        pa.array(add(np.log10(p) + gain)),
-                        pa.ListArray.from_arrays(pa.array(tails, pa.int32()), pa.array(tokens[~known], pa.int64())),
-                        more,
-                    ],
-                    names=[f.split(" ")[0] for f in _SCORED.split(", ")],
-                )
-                row += len(raws)
-                at += len(raws)
-        codes.clear()
+                add = lambda x: pa.array(np.add.reduceat(x, start))  # noqa: B023, E731
+                rows = pa.array((row["step"] << _ROWS) + np.arange(len(sizes)))
+                yield pa.RecordBatch.from_arrays([ids[i].values, rows, pa.array(row["train"], pa.bool_()), pa.array(sizes), add((t > 0).astype(np.int64)), add(np.log10(_base(t, model)))], names=names)
         give_back()
 
     return run
 
 
-def held_out(doc_id: Column) -> Column:
-    return crc_mod(doc_id, 7) == 2
+def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text", depth: int = 3, limit: int | None = None) -> DataFrame:
+    """(doc_id, train, n_tokens, n_known, train_tokens, base_score, score), one row per row; the rows that `train` marks are learnt from.
+
+    A null mark is no mark. base_score is without contexts, score that of the tree with contexts of up to `depth` words.
+    """
+    if depth < 1:
+        raise ValueError("depth must be at least 1")
+    spark = docs.sparkSession
+    sc = spark.sparkContext
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
+    counts = rows.select("text", "train").mapInArrow(_count_words, "w long, t long, a long").groupBy("w")
+    counted = materialize(counts.agg(F.sum("t").alias("t"), F.sum("a").alias("a")), "lm-words")
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    total, distinct, everything = counted.agg(zero("t"), zero((F.col("t") > 0).cast("int")), zero("a")).first()
+    head, complete = _head(counted)
+    kind = rows.schema["id"].dataType.simpleString()
+    names = ["step", "id", "size", "train", "codes", "other", "other_t", "other_a"]
+    schema = f"step long, id array<{kind}>, size array<long>, train array<boolean>, codes binary, other array<long>, other_t array<long>, other_a array<long>"
+    coded = materialize(rows.mapInArrow(_write_steps(sc.broadcast((head, complete)), names), schema), "lm-steps")
+    if not complete:
+        coded = _tell_rare(coded, counted)
+    for level in range(1, depth + 1):
+        coded = coded.withColumn(f"told{level}", F.lit(None).cast("array<struct<bucket:bigint,blob:binary>>"))
+    limit = max(limit or LIMIT, everything // HOT)
+    model = Model(head, total, distinct, depth, limit, max(1, -(-everything // BUCKET)), [])
+    hot_next = bool((head.both[1:] > limit).any())
+    while hot_next and len(model.hot) < depth:
+        coded, model, hot_next = _tell_hot(coded, model)
+    held = sc.broadcast(model)
+    sent = coded.drop("id").mapInArrow(_send(held), _BLOBS).repartition(_parts(model), "bucket").sortWithinPartitions("bucket")
+    sums = sent.mapInArrow(_score_buckets(held), _BLOBS).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_sum_rows, "row long, gain long")
+    names = ["doc_id", "row", "train", "n_tokens", "n_known", "base_score"]
+    texts = coded.select("id", "step", "size", "train", "codes", "other_t").mapInArrow(_texts(held, names), f"doc_id {kind}, row long, train boolean, n_tokens long, n_known long, base_score double")
+    out = texts.join(materialize(sums, "lm-sums"), "row", "left")
+    gain = F.coalesce(F.col("gain") / F.lit(SCALE), F.lit(0.0))
+    return out.select("doc_id", "train", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", (F.col("base_score") + gain).alias("score"))
 
 
-def score(docs: DataFrame, tree: Tree, counted: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, n_known, train_tokens, base_score, score), one row per row."""
-    held = docs.sparkSession.sparkContext.broadcast(tree._replace(values=None))
-    scored = materialize(docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(_score(held), _SCORED), "lm-scored")
-    tails = scored.select("row", F.explode("tail").alias("w")).join(counted, "w", "left")
-    factor = F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(tree.total + tree.distinct + 1)))
-    tails = tails.groupBy("row").agg(F.sum(factor).alias("tail_score"), F.count("c").alias("tail_known"))
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    out, score = scored.drop("tail", "more").join(tails, "row", "left"), F.col("head_score") + zero("tail_score")
-    if tree.values is not None:
-        more = scored.select("row", F.explode("more").alias("k")).join(tree.values, "k").groupBy("row").agg(F.sum("v").alias("more_score"))
-        out, score = out.join(more, "row", "left"), score + zero("more_score")
-    return out.select("doc_id", "n_tokens", (F.col("head_known") + zero("tail_known")).alias("n_known"), F.lit(tree.total).cast("long").alias("train_tokens"), (F.col("head_base") + zero("tail_score")).alias("base_score"), score.alias("score"))
+def held_out(doc_id: Column) -> Column:
+    return crc_mod(doc_id, 7) == 2
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    tree, counted = fit(docs.filter(~held_out(F.col("doc_id"))).select("text"))
-    out = score(docs, tree, counted)
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    out = score(docs, ~held_out(F.col("doc_id")))
+    return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -464,86 +464,106 @@ def test_mix_many_buckets(spark):
 # ---- LM scoring
 
 
-def test_lm(spark):
-    docs = documents(spark)
-    rows = docs.select("doc_id", "text").collect()
-    tokens = {r.doc_id: [*re.findall(r"[^\x20\x09-\x0D]+", lower(r.text)), None] for r in rows}
-    out = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
-    c = Counter(t for i, ts in tokens.items() if not out(i) for t in ts)
-    n, v = sum(c.values()), len(c)
-    gain = 0.0
-    for r in lm.digest(docs).collect():
-        ts = tokens[r.doc_id]
-        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (out(r.doc_id), len(ts), sum(c[t] > 0 for t in ts), n)
-        assert r.base_score == pytest.approx(sum(math.log10((c[t] + 1) / (n + v + 1)) for t in ts), rel=1e-9)
-        gain += (r.score - r.base_score) * r.held_out
-    assert gain > 0
-
-
-def test_lm_head_and_join_agree(spark, monkeypatch):
-    docs = documents(spark)
-    whole = {r.doc_id: r for r in lm.digest(docs).collect()}
-    monkeypatch.setattr(lm, "HEAD", 40)
-    for r in lm.digest(docs).collect():
-        assert (r.n_tokens, r.n_known) == (whole[r.doc_id].n_tokens, whole[r.doc_id].n_known)
-        assert r.base_score == pytest.approx(whole[r.doc_id].base_score, rel=1e-9)
-
-
-def test_lm_tables_and_memory_agree(spark, monkeypatch):
-    docs = documents(spark)
-    whole = {r.doc_id: r for r in lm.digest(docs).collect()}
-    monkeypatch.setattr(lm, "SMALL", 0)
-    monkeypatch.setattr(lm, "HEAD", 40)
-    monkeypatch.setattr(lm, "HEAD_VALUES", 30)
-    for r in lm.digest(docs).collect():
-        assert r.score == pytest.approx(whole[r.doc_id].score, rel=1e-9)
-
-
-def test_lm_keeps_rare_sequences(spark):
-    """A sequence's place doesn't depend on how large the rest of the corpus is."""
-    docs = spark.createDataFrame([("alpha beta gamma delta " * 4,), ("alpha beta gamma delta",)], "text string")
-    filler = spark.range(8).select(F.expr("repeat('x y z w ', 400000)").alias("text"))
-    tree, counted = lm.fit(docs.union(filler))
-    asked = spark.createDataFrame([(1, "alpha beta gamma delta")], "doc_id long, text string")
-    r = lm.score(asked, tree, counted).first()
-    assert r.score > r.base_score + 10
-
-
-def test_lm_sums_to_one(spark):
-    """Over all words and one unseen, after every context."""
+def brute_lm(rows, train, depth=3, probability=False):
+    """Scores by plain dictionaries: (n_tokens, n_known, base, score) per row."""
+    tokens = [[*re.findall(r"[^\x20\x09-\x0D]+", lower(t)), None] for t in rows]
+    count = Counter(w for ts, is_in in zip(tokens, train) if is_in for w in ts)
+    n, v = sum(count.values()), len(count)
+    base = lambda w: (count[w] + 1) / (n + v + 1)
+    grams = [defaultdict(Counter) for _ in range(depth + 1)]
+    for ts, is_in in zip(tokens, train):
+        for i in range(len(ts) if is_in else 0):
+            for k in range(1, min(i, depth) + 1):
+                grams[k][tuple(ts[i - k : i])][ts[i]] += 1
+    kept = {}
+
+    def p(ctx, w):
+        if not ctx:
+            return base(w)
+        shorter = p(ctx[1:], w)
+        if ctx not in kept:
+            return shorter
+        size, rest = kept[ctx]
+        c = grams[len(ctx)][ctx][w]
+        return (c - 0.5) / size * (c >= 2) + rest * shorter
+
+    for k in range(1, depth + 1):
+        new = {}
+        for ctx, after in grams[k].items():
+            size = sum(after.values())
+            often = {w: c for w, c in after.items() if c >= 2}
+            shorter = {w: p(ctx[1:], w) for w in often}
+            left = size - sum(often.values())
+            gain = sum(c * math.log(c / size / shorter[w]) for w, c in often.items())
+            gain += left * (math.log(max(left / size, 1e-12)) - math.log(max(1 - sum(shorter.values()), 1e-12)))
+            if often and gain > 2 * len(often):
+                new[ctx] = (size, 1 - sum(c - 0.5 for c in often.values()) / size)
+        kept |= new
+    if probability:
+        return p
+    out = []
+    for ts in tokens:
+        whole = [p(tuple(ts[max(0, i - depth) : i]), w) for i, w in enumerate(ts)]
+        out.append((len(ts), sum(count[w] > 0 for w in ts), sum(math.log10(base(w)) for w in ts), sum(map(math.log10, whole))))
+    return out, n
+
+
+def lm_train(i):
+    return zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2
+
+
+def check_lm(got, rows):
+    want, n = brute_lm([t for _, t in rows], [lm_train(i) for i, _ in rows])
+    want = {(i, t): w for (i, t), w in zip(rows, want)}
+    by_id = {i: want[(i, t)] for i, t in rows}
+    assert len(got) == len(rows)
+    for r in got:
+        size, known, base, score = by_id[r.doc_id]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (not lm_train(r.doc_id), size, known, n)
+        assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(score, abs=1e-6)
+
+
+@pytest.mark.parametrize("knobs", [{}, {"HEAD": 60}, {"LIMIT": 50, "BUCKET": 2000, "STEP": 9000}, {"HEAD": 200, "LIMIT": 15, "BUCKET": 500, "STEP": 3000, "SLOTS": 3}])
+def test_lm_brute(spark, monkeypatch, knobs):
+    """All words in the head or few; no hot contexts, or hot ones of up to three words; one bucket or many."""
+    for k, v in knobs.items():
+        monkeypatch.setattr(lm, k, v)
+    phrase = "the same five words again "
+    docs = documents(spark).select("doc_id", "text").limit(80).unionByName(spark.range(5000, 5040).selectExpr("id as doc_id", f"repeat('{phrase}', cast(id % 5 as int)) as text"))
+    check_lm(lm.digest(docs).collect(), [(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_lm_held_out_gain(spark):
+    got = [r for r in lm.digest(documents(spark)).collect() if r.held_out]
+    assert sum(r.score for r in got) > sum(r.base_score for r in got)
+
+
+def test_lm_keeps_what_a_larger_corpus_hides(spark):
+    """What sequences add depends on their counts, not on the size of the rest."""
+    rows = [(i, "alpha beta gamma delta " * 4) for i in range(4)] + [(9, "alpha beta gamma delta")]
+    small = spark.createDataFrame(rows, "doc_id long, text string")
+    filler = spark.range(100, 108).select(F.col("id").alias("doc_id"), F.expr("repeat('x y z w ', 100000)").alias("text"))
+    for docs in (small, small.union(filler)):
+        r = lm.score(docs, F.col("doc_id") != 9).filter("doc_id = 9").first()
+        assert r.score > r.base_score + 2
+
+
+def test_lm_sums_to_one():
+    """In the brute-force version that the operator equals: over all words, the end and one unseen word, after every context."""
     texts = ["a b c a b d", "a b c", "b c a", "c c a b"] * 6
-    docs = spark.createDataFrame([(t,) for t in texts], "text string")
-    tree, counted = lm.fit(docs)
-    assert sum(len(level.codes) for level in tree.levels)
-    words = ["a", "b", "c", "d"]
-    for context in ("a", "a b", "c", "b c"):
-        asked = spark.createDataFrame([(i, f"{context} {w}") for i, w in enumerate([*words, "zz"])] + [(9, context)], "doc_id long, text string")
-        got = {r.doc_id: r.score for r in lm.score(asked, tree, counted).collect()}
-        # P(context, w) is the score of "context w" without its end; the end after w is taken off by scoring pairs of ends.
-        ends = {}
-        for i, w in enumerate([*words, "zz"]):
-            pair = f"{context} {w}".split()
-            ends[i] = end_probability(tree, pair)
-        ahead = got[9] - end_probability(tree, context.split())
-        total = sum(10 ** (got[i] - ends[i] - ahead) for i in range(5)) + 10 ** end_probability(tree, context.split())
-        assert total == pytest.approx(1.0, abs=1e-9)
-
-
-def end_probability(tree, words):
-    codes = lm._Codes(tree.head)
-    tokens, sizes = lm._tokens([" ".join(words).encode()], codes)
-    steps = list(lm._walk(tokens, sizes, tree.word_of, tree.levels))
-    p = (tree.head_counts[codes.end] + 1) / (tree.total + tree.distinct + 1)
-    for (_, ahead), (now, _), share, rest in zip(steps, steps[1:], tree.share, tree.rest):
-        p = (rest[ahead[-1]] if ahead[-1] >= 0 else 1) * p + (share[now[-1]] if now[-1] >= 0 else 0)
-    return math.log10(p)
+    p = brute_lm(texts, [True] * len(texts), probability=True)
+    for context in ("a", "a b", "c", "b c", "zz", "b c a"):
+        assert sum(p(tuple(context.split()), w) for w in ["a", "b", "c", "d", "zz", None]) == pytest.approx(1.0, abs=1e-9)
 
 
 def test_lm_edges(spark):
-    out = lm.digest(small_docs(spark)).collect()
-    assert len(out) == len(NASTY) + 3
-    assert all(r.n_tokens >= 1 and math.isfinite(r.score) for r in out)
+    docs = small_docs(spark).unionByName(spark.createDataFrame([(None, "a b", None, "", 1, 1, 1)], DOCS))
+    check_lm(lm.digest(docs).collect(), [(r.doc_id, r.text) for r in docs.collect()])
     assert lm.digest(empty(spark)).count() == 0
+    named = docs.select(F.col("doc_id").cast("string").alias("row"), F.col("text").alias("step"))
+    assert dict(lm.score(named, F.lit(True), "row", "step").dtypes)["doc_id"] == "string"
+    none = lm.score(docs, F.lit(False)).collect()
+    assert all(r.base_score == r.score == 0 and r.train_tokens == 0 for r in none)
 
 
 def test_pipeline_brute(spark):
