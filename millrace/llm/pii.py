@@ -3,16 +3,18 @@
 Base spans: e-mail addresses, IP addresses, card and phone numbers by their patterns, leftmost and not overlapping within a kind, kept
 if their checks hold (parts to 255; 13 to 19 digits with a right Luhn sum; 9 to 15 digits). They are always spans.
 
-Candidates: looser patterns of each kind (LOOSE), which the base patterns miss. Labelers vote on every candidate: pattern labelers (a
-strict form of the kind), gazetteers (fixed word lists: domain endings, dialling forms) and context labelers (cue words shortly before,
-a check of the digits). Votes are yes, no or none. Expectation-maximisation over the counts of vote patterns gives the labelers'
-reliabilities and each pattern's probability; these are the soft labels of a logistic span classifier over the votes and the span's
-length class. Candidates with a probability of at least THRESHOLD that touch no other span are added.
+Candidates: base spans, and matches of looser patterns of each kind (LOOSE), which the base patterns miss. Labelers vote on every
+candidate: pattern labelers (a strict form of the kind), gazetteers (fixed lists: domain endings, dialling codes, address ranges) and
+context labelers (cue words in the CONTEXT characters before, as far as no other candidate of the pattern stands there; a check of the
+digits). Votes are yes, no or none. Expectation-maximisation over the counts of vote patterns gives the labelers' reliabilities and each
+pattern's probability; these are the soft labels of a logistic span classifier over the votes and the span's length class. Loose
+candidates with a probability of at least THRESHOLD that touch no base span and no earlier one are added.
 
 Positions count code points, end exclusive. Null and empty texts have no spans. Repeated rows are each answered. What reaches the driver
 are counts by vote pattern, at most KINDS x 3^labelers x 3 rows whatever the corpus.
 
-Splitting a text by a pattern and listing the pattern's matches give, together, all positions. Patterns are written with possessive
+Splitting a text by a pattern and listing the pattern's matches give, together, all positions, by running sums in blocks: the work on n
+matches grows as n^(4/3) at most, and a text full of matches is no quadratic case. Patterns are written with possessive
 loops, so that long runs neither recurse nor are tried again from their middle; the matches are those of the plain forms.
 """
 
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import materialize
 
 KINDS = ("email", "ip", "card", "phone")
-THRESHOLD = 0.9
+THRESHOLD, CONTEXT = 0.9, 24
 _LOCAL = r"[A-Za-z0-9._%+-]"
 #: A run that is no address from its start is none from its middle either; \G lets a match begin where the last one ended.
 BASE = {
@@ -43,29 +45,64 @@ LOOSE = {
     "card": r"(?<![0-9A-Za-z.])(?:[0-9]{4}[./_]){3}[0-9]{4}(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z+(.-])(?:00[1-9][0-9]{0,2}[ .-]|\([0-9]{2,4}\) ?|0[0-9]{1,4}[ ./-])[0-9]{2,5}(?:[ .-][0-9]{2,5}){1,3}(?![0-9A-Za-z-])",
 }
-#: Fixed word lists.
-ENDINGS = ("com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "uk", "eu")
+#: Fixed lists.
+ENDINGS = (
+    *("com", "org", "net", "edu", "gov", "mil", "int", "info", "biz", "name", "pro", "dev", "app", "io", "ai", "co", "me", "tv"),
+    *("at", "au", "be", "br", "ca", "ch", "cn", "cz", "de", "dk", "es", "eu", "fi", "fr", "gr", "hu", "ie", "in", "it", "jp", "kr", "mx"),
+    *("nl", "no", "nz", "pl", "pt", "ro", "ru", "se", "sk", "tr", "ua", "uk", "us", "za"),
+)
+DIALLING = ("1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "52", "55", "61", "64", "81", "82", "86", "90", "91")
+LOCAL_RANGES = ("10", "127", "192.168", "169.254", "fe80", "fd00", "2001")
 CUES = {
-    "email": ("mail", "contact", "write", "kontakt", "contacto", "courriel", "correo"),
-    "ip": ("ip", "host", "server", "address", "adresse"),
-    "card": ("card", "visa", "credit", "karte", "carte", "tarjeta"),
-    "phone": ("phone", "tel", "call", "fax", "mobile", "telefon", "telefono"),
+    "email": ("mail", "e-mail", "email", "contact", "write", "reach", "kontakt", "schreiben", "contacto", "escriba", "courriel", "écrire", "correo", "posta"),
+    "ip": ("ip", "ipv6", "host", "hosts", "server", "address", "adresse", "dirección", "login", "client", "gateway", "dns"),
+    "card": ("card", "visa", "mastercard", "amex", "credit", "debit", "karte", "kreditkarte", "carte", "tarjeta", "carta", "pan"),
+    "phone": ("phone", "tel", "call", "fax", "mobile", "cell", "telephone", "telefon", "handy", "anruf", "telefono", "teléfono", "llame", "téléphone", "appeler", "whatsapp"),
 }
 LABELERS = ("strict", "gazetteer", "context", "check")
 
 
-def _spans(text: Column, kind: str, pattern: str) -> Column:
-    """array<struct<kind, s, e, t>> of the pattern's matches."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("at"), F.array().cast("array<struct<kind:string,s:int,e:int,t:string>>").alias("out"))
+_SPAN = "array<struct<kind:string,base:boolean,s:int,e:int,t:string,b:string>>"
 
-    def step(state: Column, match: Column) -> Column:
-        s = state["at"] + F.length(F.get(between, state["i"]))
-        e = s + F.length(match)
-        return F.struct((state["i"] + 1).alias("i"), e.alias("at"), F.concat(state["out"], F.array(F.struct(F.lit(kind).alias("kind"), s.alias("s"), e.alias("e"), match.alias("t")))).alias("out"))
 
-    return F.aggregate(found, start, step, lambda x: x["out"])
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with the value evaluated once however often it is used."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
+def running(values: Column, op: Callable[[Column, Column], Column], zero: int = 0) -> Column:
+    """op over all values up to each, of an array of ints. In blocks of the cube root, so that no long array is built by appending."""
+    none = F.array().cast("array<int>")
+
+    def fold(xs: Column, value: Callable[[Column], Column], kept: Callable[[Column, Column], Column]) -> Column:
+        start = F.struct(F.lit(zero).alias("at"), none.alias("out"))
+        return F.aggregate(xs, start, lambda st, x: _let(op(st["at"], value(x)), lambda now: F.struct(now.alias("at"), F.concat(st["out"], F.array(kept(st["at"], now))).alias("out"))))
+
+    def blocked(v: Column) -> Column:
+        size = F.greatest(F.ceil(F.cbrt(2 * F.size(v))).cast("int"), F.lit(1))
+        begins = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(v) / size).cast("int") - 1, F.lit(0)))
+        return F.transform(begins, lambda i: fold(F.slice(v, i * size + 1, size), lambda x: x, lambda was, now: now))
+
+    def joined(blocks: Column) -> Column:
+        before = fold(blocks, lambda x: x["at"], lambda was, now: was)["out"]
+        return F.flatten(F.zip_with(blocks, before, lambda x, first: F.transform(x["out"], lambda y: op(first, y))))
+
+    return F.when(F.size(values) > 0, _let(values, lambda v: _let(blocked(v), joined))).otherwise(none)
+
+
+def _spans(text: Column, kind: str, pattern: str, base: bool) -> Column:
+    """The pattern's matches (_SPAN): t is the match, b the CONTEXT characters before it."""
+    parts = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("between"))
+
+    def placed(x: Column) -> Column:
+        both = F.zip_with(x["found"], x["between"], lambda m, b: F.struct(m.alias("t"), F.substring(b, -CONTEXT, CONTEXT).alias("b"), (F.length(b) + F.coalesce(F.length(m), F.lit(0))).alias("n")))
+        both = F.slice(both, 1, F.size(x["found"]))
+        return _let(both, lambda y: F.zip_with(y, running(F.transform(y, lambda z: z["n"]), lambda p, q: p + q), span))
+
+    def span(y: Column, e: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.lit(base).alias("base"), (e - F.length(y["t"])).alias("s"), e.alias("e"), y["t"].alias("t"), y["b"].alias("b"))
+
+    return _let(parts, placed).cast(_SPAN)
 
 
 def _digits(t: Column) -> Column:
@@ -98,30 +135,37 @@ def _check(kind: str) -> Callable[[Column], Column]:
 
 
 def base_spans(text: Column) -> Column:
-    none = F.array().cast("array<struct<kind:string,s:int,e:int,t:string>>")
+    none = F.array().cast(_SPAN)
     digits = text.rlike("[0-9]")
     possible = {"email": F.contains(text, F.lit("@")), "ip": digits & text.rlike(r"[0-9]\.[0-9]"), "card": digits, "phone": F.contains(text, F.lit("+"))}
-    checked = {k: F.filter(_spans(text, k, BASE[k]), _check(k)) for k in KINDS}
+    checked = {k: F.filter(_spans(text, k, BASE[k], True), _check(k)) for k in KINDS}
     return F.concat(*[F.when(possible[k], checked[k]).otherwise(none) for k in KINDS])
 
 
 def _loose_spans(text: Column) -> Column:
-    none = F.array().cast("array<struct<kind:string,s:int,e:int,t:string>>")
+    none = F.array().cast(_SPAN)
     possible = {"email": text.rlike(r"(?i)\[at\]|\(at\)| at "), "ip": text.rlike("[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:"), "card": text.rlike("[0-9]{4}[./_][0-9]{4}"), "phone": text.rlike("[0-9][ ./)-] ?[0-9]{2}")}
-    return F.concat(*[F.when(possible[k], _spans(text, k, LOOSE[k])).otherwise(none) for k in KINDS])
+    return F.concat(*[F.when(possible[k], _spans(text, k, LOOSE[k], False)).otherwise(none) for k in KINDS])
 
 
-def _votes(text: Column, x: Column) -> Column:
+def _votes(x: Column) -> Column:
     """The labelers' votes on a candidate, one sign each (1 yes, 0 no, - none), then its length class."""
-    t, kind = F.lower(x["t"]), x["kind"]
+    t, kind, base, before = F.lower(x["t"]), x["kind"], x["base"], F.lower(x["b"])
     n = F.length(_digits(t))
-    before = F.lower(F.substring(text, F.greatest(x["s"] - 24, F.lit(0)) + 1, F.least(x["s"], F.lit(24))))
     pick = lambda cases: F.coalesce(*[F.when(kind == k, c) for k, c in cases.items()])
     sign = lambda c: F.when(c, "1").otherwise("0")
-    strict = pick({"email": sign(t.rlike(r"[\[(](?:at|dot)[\])]")), "ip": sign(t.rlike("[0-9]")), "card": sign(~t.rlike("_")), "phone": sign(t.rlike(r"^(?:\(|00)"))})
-    gazetteer = pick({"email": sign(t.rlike(rf"(?:\.|dot[\])]? ?)(?:{'|'.join(ENDINGS)})$")), "ip": F.lit("-"), "card": F.when(t.rlike("^[3-6]"), "1").otherwise("0"), "phone": F.when(t.rlike(r"^00(?:1|33|34|44|49)"), "1").otherwise("-")})
-    context = pick({k: F.when(before.rlike(rf"(?:^|[^\p{{L}}])(?:{'|'.join(CUES[k])})[^\p{{L}}]{{0,3}}"), "1").otherwise("-") for k in KINDS})
-    check = pick({"email": sign(~t.rlike(r" at .* dot .* dot ")), "ip": sign(~t.rlike("^0:")), "card": sign(luhn(_digits(t))), "phone": sign(n.between(9, 15))})
+    any_of = lambda words: "|".join(w.replace(".", r"\.") for w in words)
+    strict = F.when(base, "1").otherwise(pick({"email": sign(t.rlike(r"[\[(](?:at|dot)[\])]")), "ip": sign(t.rlike("[0-9]")), "card": sign(~t.rlike("_")), "phone": sign(t.rlike(r"^(?:\(|00)"))}))
+    gazetteer = pick(
+        {
+            "email": sign(t.rlike(rf"(?:\.|dot[\])]? ?)(?:{any_of(ENDINGS)})$")),
+            "ip": F.when(t.rlike(rf"^(?:{any_of(LOCAL_RANGES)})[.:]"), "1").otherwise("-"),
+            "card": sign(t.rlike("^[3-6]")),
+            "phone": F.when(t.rlike(rf"^(?:00|\+)(?:{any_of(DIALLING)})(?![0-9]{{2}})"), "1").otherwise("-"),
+        }
+    )
+    context = pick({k: F.when(before.rlike(rf"(?:^|[^\p{{L}}])(?:{any_of(CUES[k])})[^\p{{L}}]{{0,3}}"), "1").otherwise("-") for k in KINDS})
+    check = F.when(base, "1").otherwise(pick({"email": sign(~t.rlike(r" at .* dot .* dot ")), "ip": sign(~t.rlike("^0:")), "card": sign(luhn(_digits(t))), "phone": sign(n.between(9, 15))}))
     length = F.when(F.length(t) < 14, "s").when(F.length(t) < 22, "m").otherwise("l")
     return F.concat(strict, gazetteer, context, check, length)
 
@@ -191,29 +235,61 @@ def _probability(x: Column, weights: dict[str, dict[str, float]]) -> Column:
     return F.coalesce(*cases)
 
 
+_PLACE = "array<struct<kind:string,s:int,e:int>>"
+
+
+def _apart(spans: Column, others: Column) -> Column:
+    """The spans that touch none of the others. Both in order of start."""
+    mark = lambda xs, own: F.transform(xs, lambda x: F.struct(x["s"].alias("s"), F.lit(own).alias("own"), x["e"].alias("e"), x["kind"].alias("kind")))
+    far = 2**31 - 1
+
+    def among(xs: Column) -> Column:
+        ends = running(F.transform(xs, lambda x: F.when(x["own"] == 1, 0).otherwise(x["e"])), lambda p, q: F.greatest(p, q))
+        starts = F.reverse(running(F.reverse(F.transform(xs, lambda x: F.when(x["own"] == 1, far).otherwise(x["s"]))), lambda p, q: F.least(p, q), far))
+        kept = F.filter(F.arrays_zip(xs.alias("x"), ends.alias("before"), starts.alias("after")), lambda y: (y["x"]["own"] == 1) & (y["before"] <= y["x"]["s"]) & (y["after"] >= y["x"]["e"]))
+        return F.transform(kept, lambda y: F.struct(y["x"]["kind"].alias("kind"), y["x"]["s"].alias("s"), y["x"]["e"].alias("e")))
+
+    return F.when(F.size(spans) > 0, _let(F.array_sort(F.concat(mark(spans, 1), mark(others, 0))), among)).otherwise(F.array().cast(_PLACE))
+
+
+def _leading(spans: Column) -> Column:
+    """In order of start: spans that begin at or behind the end (`at`) of all earlier ones."""
+
+    def among(xs: Column) -> Column:
+        ends = running(F.transform(xs, lambda x: x["e"]), lambda p, q: F.greatest(p, q))
+        before = F.concat(F.array(F.lit(0)), ends)
+        return F.filter(F.zip_with(xs, F.slice(before, 1, F.size(xs)), lambda x, at: F.struct(x["kind"].alias("kind"), x["s"].alias("s"), x["e"].alias("e"), at.alias("at"))), lambda y: y["s"] >= y["at"])
+
+    ordered = F.array_sort(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["kind"].alias("kind"), x["e"].alias("e"))))
+    return F.when(F.size(spans) > 0, _let(ordered, among)).otherwise(F.array().cast("array<struct<kind:string,s:int,e:int,at:int>>"))
+
+
 def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs without the text, with base and added: array<struct<kind, s, e>>, each in order of kind and start."""
-    rest = [c for c in docs.columns if c != text]
+    """(row, base, added): the row of docs as a struct, and array<struct<kind, s, e>>s, base ones by kind and start, added ones by start."""
     plain = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(*rest, plain.alias("_text"), base_spans(plain).alias("base"), _loose_spans(plain).alias("loose"))
-    votes = F.transform("loose", lambda x: F.struct(x["kind"].alias("kind"), x["s"].alias("s"), x["e"].alias("e"), _votes(F.col("_text"), x).alias("votes")))
-    rows = rows.select(*rest, F.transform("base", lambda x: F.struct(x["kind"].alias("kind"), x["s"].alias("s"), x["e"].alias("e"))).alias("base"), votes.alias("candidates"))
-    rows = materialize(rows, "pii-spans")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.concat(base_spans(plain), _loose_spans(plain)).alias("found"))
+    candidates = F.transform("found", lambda x: F.struct(x["kind"].alias("kind"), x["base"].alias("base"), x["s"].alias("s"), x["e"].alias("e"), _votes(x).alias("votes")))
+    rows = materialize(rows.select("row", candidates.alias("candidates")), "pii-spans")
     weights = classifier(rows)
-    likely = F.filter("candidates", lambda x: (_probability(x, weights) >= THRESHOLD) & ~F.exists("base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
-    rows = rows.withColumn("likely", likely)
-    alone = F.filter("likely", lambda x: ~F.exists("likely", lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"]) & ((y["s"] < x["s"]) | ((y["s"] == x["s"]) & (y["kind"] < x["kind"])))))
-    return rows.select(*rest, "base", F.transform(alone, lambda x: F.struct(x["kind"].alias("kind"), x["s"].alias("s"), x["e"].alias("e"))).alias("added"))
+    places = lambda xs: F.transform(xs, lambda x: F.struct(x["kind"].alias("kind"), x["s"].alias("s"), x["e"].alias("e")))
+    likely = F.filter("candidates", lambda x: ~x["base"] & (_probability(x, weights) >= THRESHOLD))
+    base = F.filter("candidates", lambda x: x["base"])
+    added = _let(F.struct(places(likely).alias("likely"), places(base).alias("base")), lambda z: places(_leading(_apart(z["likely"], z["base"]))))
+    return rows.select("row", places(base).alias("base"), added.alias("added"))
+
+
+def mask(docs: DataFrame, text: str = "text") -> DataFrame:
+    """docs with every span, or group of spans that touch, replaced by its first one's kind in angle brackets."""
+    plain = F.col(f"row.`{text}`")
+    joined = lambda chars, a, b: F.array_join(F.slice(chars, a + 1, b - a), "")
 
+    def cut(z: Column) -> Column:
+        pieces = F.transform(z["spans"], lambda x: F.concat(joined(z["chars"], x["at"], x["s"]), F.lit("<"), x["kind"], F.lit(">")))
+        return F.concat(F.array_join(pieces, ""), joined(z["chars"], z["end"], F.size(z["chars"])))
 
-def mask(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with every span replaced by its kind in angle brackets."""
-    found = find_spans(docs.select(F.struct(*docs.columns).alias("row"), text))
-    where = F.array_sort(F.transform(F.concat("base", "added"), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"))))
-    plain = F.col(f"row.{text}")
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    masked = F.aggregate(where, begin, lambda st, x: F.when(x["s"] < st["at"], F.struct(F.greatest(st["at"], x["e"]).alias("at"), st["out"].alias("out"))).otherwise(F.struct(x["e"].alias("at"), F.concat(st["out"], F.substring(plain, st["at"] + 1, x["s"] - st["at"]), F.lit("<"), x["kind"], F.lit(">")).alias("out"))), lambda st: F.concat(st["out"], F.substring(plain, st["at"] + 1, F.length(plain))))
-    return found.select(*[masked.alias(c) if c == text else F.col(f"row.{c}").alias(c) for c in docs.columns])
+    both = F.concat("base", "added")
+    masked = _let(F.struct(_leading(both).alias("spans"), F.split(plain, "").alias("chars"), F.array_max(F.transform(both, lambda x: x["e"])).alias("end")), cut)
+    return find_spans(docs, text).select(*[(F.when(F.size(both) > 0, masked).otherwise(plain) if c == text else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -222,4 +298,4 @@ def digest(docs: DataFrame) -> DataFrame:
     listed = lambda c: F.array_join(F.transform(F.array_sort(F.transform(c, lambda x: F.struct(order(x).alias("o"), x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind")))), lambda x: F.concat_ws(":", x["kind"], x["s"].cast("string"), x["e"].cast("string"))), ",")
     is_kind = {k: (lambda kind: lambda x: x["kind"] == kind)(k) for k in KINDS}
     counts = [F.size(F.filter("base", is_kind[k])).cast("long").alias(f"n_{k}") for k in KINDS]
-    return found.select("doc_id", *counts, F.sha2(listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), listed(F.concat("base", "added")).alias("spans"))
+    return found.select("row.doc_id", *counts, F.sha2(listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), listed(F.concat("base", "added")).alias("spans"))

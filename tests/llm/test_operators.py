@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from types import SimpleNamespace
@@ -407,6 +408,49 @@ def test_pii_loose_addresses_need_no_brackets(spark):
     assert "anna at mail.com" in got[0][0]
 
 
+def test_pii_dense_text_in_linear_time(spark):
+    """A megabyte of matches in one row."""
+    texts = ["12 x " * 200_000, "a@b.cc, " * 130_000, "(030) 123-45678, " * 60_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    pii.digest(docs.filter("doc_id > 5")).collect()
+    began = time.time()
+    got = {r.doc_id: r for r in pii.digest(docs).collect()}
+    assert time.time() - began < 60
+    assert got[1].n_email == 130_000 and got[0].spans == ""
+    assert len(pii.mask(docs.filter("doc_id = 1")).first().text) == 9 * 130_000
+
+
+def test_pii_running(spark):
+    rng = np.random.default_rng(2)
+    rows = [([int(x) for x in rng.integers(0, 50, n)],) for n in (0, 1, 2, 7, 100, 1000)]
+    df = spark.createDataFrame(rows, "v array<int>")
+    for r in df.select("v", pii.running(F.col("v"), lambda a, b: a + b).alias("sums"), pii.running(F.col("v"), F.greatest).alias("most")).collect():
+        assert r.sums == np.cumsum(r.v).tolist() and r.most == np.maximum.accumulate(r.v).tolist() if r.v else r.sums == r.most == []
+
+
+def test_pii_reliabilities_are_recovered():
+    """Votes drawn from known reliabilities: the estimate finds them, and the classifier follows the posterior."""
+    rng = np.random.default_rng(4)
+    truth = rng.random(40_000) < 0.4
+    tables = [{"1": (0.9, 0.1), "0": (0.05, 0.8), "-": (0.05, 0.1)}, {"1": (0.7, 0.05), "0": (0.1, 0.55), "-": (0.2, 0.4)}, {"1": (0.6, 0.1), "0": (0.0, 0.0), "-": (0.4, 0.9)}, {"1": (0.8, 0.3), "0": (0.2, 0.7), "-": (0.0, 0.0)}]
+    signs = [np.where(truth, rng.choice(list(t), len(truth), p=[v[0] for v in t.values()]), rng.choice(list(t), len(truth), p=[v[1] for v in t.values()])) for t in tables]
+    patterns = ["".join(v) + "m" for v in zip(*signs)]
+    counts = Counter(patterns)
+    prior, got = pii.expectation_maximisation(counts)
+    assert abs(prior - 0.4) < 0.03
+    for want, have in zip(tables, got):
+        assert all(abs(want[v][k] - have[v][k]) < 0.05 for v in want for k in (0, 1))
+    soft = {p: pii.posterior(p, prior, got) for p in counts}
+    weights = pii.train(counts, soft)
+    chance = {p: 1 / (1 + math.exp(-sum(weights.get(k, 0.0) for k in ["bias", *(f"{i}{v}" for i, v in enumerate(p))]))) for p in counts}
+    assert all(abs(chance[p] - soft[p]) < 0.12 for p, n in counts.items() if n > 100)
+
+
+def test_pii_clashing_names(spark):
+    docs = spark.createDataFrame([("x", "mail a@b.cc and 1.2.3.4", 1, 2, 3)], "row string, text string, base int, found int, candidates int")
+    assert pii.mask(docs).first() == ("x", "mail <email> and <ip>", 1, 2, 3)
+
+
 # ---- mixing
 
 
