@@ -19,12 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: the cluster's own setting, else the warehouse, else (local master only) a new one."""
+    """The folder that all executors share: the cluster's own setting; on a local master without one, a new folder."""
     setting = spark.conf.get("spark.checkpoint.dir", None)
     if setting:
         return setting
     if not spark.sparkContext.master.startswith("local["):
-        return f"{spark.conf.get('spark.sql.warehouse.dir')}/_millrace"
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     folder = f"file://{tempfile.mkdtemp(prefix='millrace-')}"
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
@@ -38,6 +38,16 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def carried(docs: DataFrame, **more: Column) -> DataFrame:
+    """The whole row as one struct `row`, so that no column's name can clash, and more columns beside it."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in more.items()])
+
+
+def unpacked(columns: list[str], **own: Column) -> list[Column]:
+    """What to select from a carried table: the row's columns and an operator's own, which replace those of the same name in place."""
+    return [*[own.get(c, F.col(f"row.`{c}`")).alias(c) for c in columns], *[c.alias(n) for n, c in own.items() if n not in columns]]
+
+
 def byte_texts(column: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column, without decoding."""
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()

@@ -14,7 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import materialize
+from millrace.llm.common import carried, materialize, unpacked
+
+SALT = 16
 
 def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
@@ -35,26 +37,31 @@ def boilerplate(docs: DataFrame, text: str = "text", site: str = "source", min_s
     low, high = min_sites * (1 - slack) - 1, min_sites * (1 + slack) + 1
     spread = materialize(spread.filter(F.col("sites") >= low), "line-spread")
     near = spread.filter(F.col("sites") <= high).select("a", "b")
-    exact = lines.join(near, ["a", "b"], "left_semi").distinct().groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_sites)
+    # Distinct first: a near-threshold line then has few rows, however often it occurs.
+    exact = lines.distinct().join(near, ["a", "b"], "left_semi").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_sites)
     return spread.filter(F.col("sites") > high).select("a", "b").unionByName(exact.select("a", "b"))
 
 
 def remove_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = 8, lg_k: int = 9) -> DataFrame:
-    """docs with the text cleaned, and n_lines (not blank) and n_removed added.
+    """docs with the text cleaned, and n_lines (not blank) and n_removed added; columns of docs of these names are replaced.
 
     Boilerplate hashes meet the documents' line hashes, not their texts; each document then gets its own few. Documents that
     share an id share that list, which changes nothing: it holds boilerplate only. A null text stays null.
     """
     bad = materialize(boilerplate(docs, text, site, min_sites, lg_k), "line-boilerplate")
-    keys = docs.select(F.col(doc_id).alias("_id"), F.explode(lines_of(F.col(text))).alias("line")).select("_id", _key(F.col("line")).alias("k")).filter("k is not null").select("_id", "k.a", "k.b")
-    own = keys.join(bad, ["a", "b"], "left_semi").groupBy("_id").agg(F.collect_set(F.struct("a", "b")).alias("_bad"))
-    rows = docs.join(own, F.col(doc_id).eqNullSafe(F.col("_id")), "left")
-    lines = lines_of(F.col(text))
-    is_bad = lambda x: F.coalesce(F.array_contains(F.col("_bad"), _key(x)), F.lit(False))
-    kept = F.when(F.col("_bad").isNull(), F.col(text)).otherwise(F.array_join(F.filter(lines, lambda x: ~is_bad(x)), "\n"))
-    removed = F.when(F.col("_bad").isNull(), F.lit(0)).otherwise(F.size(F.filter(lines, is_bad)))
+    keys = docs.select(F.col(doc_id).alias("id"), F.explode(lines_of(F.col(text))).alias("line")).select("id", _key(F.col("line")).alias("k")).filter("k is not null").select("id", "k.a", "k.b")
+    # A boilerplate line is on many rows by definition: each key is dealt to SALT places.
+    keys = keys.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALT)))
+    salted = bad.select("a", "b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))).alias("salt"))
+    own = keys.join(salted, ["a", "b", "salt"], "left_semi").groupBy("id").agg(F.collect_set(F.struct("a", "b")).alias("bad"))
+    rows = carried(docs, key=F.col(doc_id)).join(own, F.col("key").eqNullSafe(F.col("id")), "left")
+    old = F.col(f"row.`{text}`")
+    lines = lines_of(old)
+    is_bad = lambda x: F.coalesce(F.array_contains(F.col("bad"), _key(x)), F.lit(False))
+    kept = F.when(F.col("bad").isNull(), old).otherwise(F.array_join(F.filter(lines, lambda x: ~is_bad(x)), "\n"))
+    removed = F.when(F.col("bad").isNull(), F.lit(0)).otherwise(F.size(F.filter(lines, is_bad)))
     total = F.size(F.filter(lines, lambda x: F.trim(x) != ""))
-    return rows.select(*[kept.alias(text) if c == text else F.col(c) for c in docs.columns], total.cast("long").alias("n_lines"), removed.cast("long").alias("n_removed"))
+    return rows.select(*unpacked(docs.columns, **{text: kept, "n_lines": total.cast("long"), "n_removed": removed.cast("long")}))
 
 
 def digest(docs: DataFrame) -> DataFrame:

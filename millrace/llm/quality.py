@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import byte_texts, crc_mod, give_back
+from millrace.llm.common import byte_texts, carried, crc_mod, give_back, unpacked
 
 SAMPLE, FOLDS, CUT = 20_000, 5, 0.3
 FEATURES = 22
@@ -71,7 +71,7 @@ def _sample(rows: DataFrame, n: int) -> np.ndarray:
         return np.empty((0, FEATURES))
     h = F.xxhash64(F.col("id"), F.lit(11))
     some = rows if total <= n else rows.filter(F.pmod(h, F.lit(1_000_000)) < 1_200_000 * n / total)
-    got = some.mapInArrow(_figures, "id long, figures binary").withColumn("h", F.xxhash64("id")).orderBy("h", "id", "figures").limit(n).select("figures").toArrow().column(0).to_pylist()
+    got = some.select("id", "text").mapInArrow(_figures, f"id {rows.schema['id'].dataType.simpleString()}, figures binary").withColumn("h", F.xxhash64("id")).orderBy("h", "id", "figures").limit(n).select("figures").toArrow().column(0).to_pylist()
     return np.frombuffer(b"".join(got)).reshape(-1, FEATURES)
 
 
@@ -145,8 +145,8 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", quality: str = "quality") -> PUModel:
     """From training-fold rows only."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).filter(~held_out(F.col("id")))
-    trusted = labels.filter((F.col(quality) == 1) & ~held_out(F.col(doc_id))).select(F.col(doc_id).cast("long").alias("id")).distinct()
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).filter(~held_out(F.col("id")))
+    trusted = labels.filter((F.col(quality) == 1) & ~held_out(F.col(doc_id))).select(F.col(doc_id).alias("id")).distinct()
     # The same hash thins both sides of the join to what the sample may take.
     total = trusted.count()
     if total > SAMPLE:
@@ -155,17 +155,17 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
 
 def score(docs: DataFrame, model: PUModel, text: str = "text") -> DataFrame:
-    """docs with score (0 to 1) added."""
-    names, held = [*docs.columns, "score"], docs.sparkSession.sparkContext.broadcast(model)
-    at = names.index(text)
+    """docs with score (0 to 1) added; a column of docs of that name is replaced."""
+    held, rows = docs.sparkSession.sparkContext.broadcast(model), carried(docs, text=F.col(text))
+    out = rows.select("row", F.lit(0.5).alias("score"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.array([features(raw) for raw in byte_texts(batch.column(at))]).reshape(-1, FEATURES)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(held.value.score(x), pa.float64())], names=names)
+            x = np.array([features(raw) for raw in byte_texts(batch.column(1))]).reshape(-1, FEATURES)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held.value.score(x), pa.float64())], names=["row", "score"])
         give_back()
 
-    return docs.mapInArrow(run, docs.withColumn("score", F.lit(0.5)).schema)
+    return rows.mapInArrow(run, out.schema).select(*unpacked(docs.columns, score=F.col("score")))
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -174,7 +174,7 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents, with their columns, that the classifier doesn't reject."""
-    columns = docs.columns
-    return score(docs, fit(docs, labels)).filter(F.col("score") >= CUT).select(columns)
+    scored = score(carried(docs, text=F.col(text)), fit(docs, labels, doc_id, text))
+    return scored.filter(F.col("score") >= CUT).select("row.*")
