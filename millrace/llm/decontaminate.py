@@ -6,13 +6,15 @@ or a whole item of fewer). `remove_spans` cuts those spans out of the texts and
 
 Words: ASCII-lower-cased runs of `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`. Null and empty texts have no words and no hits. Items without
 words match nothing; an item whose id is null still marks words, but is not listed. Repeated rows are each answered.
-Items are split into shards of `shard_words` words, one automaton and one pass over the documents each, so what is sent to
-executors is bounded whatever the size of the benchmark.
+Items are split into shards of `shard_words` words, one automaton each. The documents are read once: a worker holds one automaton and
+streams the texts it has buffered through one shard after another, so its memory is bounded whatever the size of the benchmark, which
+is itself sent to all executors.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import byte_texts, give_back, materialize
+from millrace.llm.common import byte_texts, carried, give_back, unpacked
+
+BUFFER = 64_000_000
 
 _WORD = re.compile(rb"\S+")
 #: Word bytes stay (capitals become small), all others become blanks.
@@ -167,21 +171,57 @@ class ItemAutomaton:
         return spans, names
 
 
-_built: dict[int, ItemAutomaton] = {}
+_built: dict[tuple, ItemAutomaton] = {}
 
 
-def _automaton(items, window: int) -> ItemAutomaton:
-    """Built once in each Python worker; only the last is held."""
-    key = (items.value[0], window)
-    if key not in _built:
+def _automaton(shard, number: tuple, window: int) -> ItemAutomaton:
+    """Built once in each Python worker, if there is one shard; else the last one is held."""
+    if number not in _built:
         _built.clear()
-        _built[key] = ItemAutomaton(items.value[1], window)
-    return _built[key]
+        _built[number] = ItemAutomaton(shard.value, window)
+    return _built[number]
+
+
+class _Items:
+    """The test items in shards, each a broadcast of bounded size, and all texts of a task streamed through every shard's automaton.
+
+    Texts are held until they fill BUFFER bytes (with one shard, for no longer than a batch), so an automaton is built once for as many.
+    """
+
+    def __init__(self, benchmark: DataFrame, item_id: str, item_text: str, window: int, shard_words: int):
+        if window < 1:
+            raise ValueError("window must be at least 1")
+        sc = benchmark.sparkSession.sparkContext
+        self.window, self.name = window, uuid.uuid4().hex
+        self.shards = [sc.broadcast(s) for s in _shards(benchmark, item_id, item_text, shard_words)]
+
+    def buffers(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if len(self.shards) == 1 or size >= BUFFER:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                held, size = [], 0
+        if held:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+    def find(self, texts: list[list[bytes]]) -> list[tuple[list[tuple[int, int]], set[str]]]:
+        """Of each text's words, the merged spans of hit words and the items with an occurring window, over all shards."""
+        found: list[tuple[list[tuple[int, int]], set[str]]] = [([], set()) for _ in texts]
+        for number, shard in enumerate(self.shards):
+            auto = _automaton(shard, (self.name, number), self.window)
+            for i, words in enumerate(texts):
+                spans, names = auto.find(words)
+                if spans:
+                    found[i] = (_union(found[i][0], spans), found[i][1] | names)
+        return found
 
 
 def _shards(benchmark: DataFrame, item_id: str, item_text: str, shard_words: int) -> Iterator[list[tuple[str | None, bytes]]]:
     shard, words = [], 0
-    for name, text in benchmark.select(F.col(item_id).cast("string"), item_text).distinct().sort(F.col(item_id).cast("string"), item_text).toLocalIterator():
+    rows = benchmark.select(F.col(item_id).cast("string").alias("name"), F.col(item_text).alias("text")).distinct()
+    for name, text in rows.sort("name", "text").toLocalIterator():
         raw = (text or "").encode()
         n = len(raw.translate(_FOLD).split())
         if shard and words + n > shard_words:
@@ -192,45 +232,39 @@ def _shards(benchmark: DataFrame, item_id: str, item_text: str, shard_words: int
     yield shard
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, shard_words: int = 200_000) -> DataFrame:
-    """The documents' rows with hit_spans array<int> (start, end, start, end ... in words), hit_items array<string> and hit_words long (count of words)."""
-    if window < 1:
-        raise ValueError("window must be at least 1")
-    sc = docs.sparkSession.sparkContext
-    out = docs.withColumns({"hit_spans": F.array().cast("array<int>"), "hit_items": F.array().cast("array<string>"), "hit_words": F.lit(0).cast("long")})
-    schema, names = out.schema, out.columns
-    for number, shard in enumerate(_shards(benchmark, item_id, item_text, shard_words)):
-        if number:
-            out = materialize(out, "decontaminate")
-        items = sc.broadcast((f"{id(docs)}-{number}-{hash(tuple(shard))}", shard))
-
-        def scan(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
-            auto = _automaton(items, window)
-            for batch in batches:
-                spans, found, counts = [], [], []
-                for raw, had, had_items in zip(byte_texts(batch.column(names.index(text))), batch.column(names.index("hit_spans")).to_pylist(), batch.column(names.index("hit_items")).to_pylist(), strict=True):
-                    words = (raw or b"").translate(_FOLD).split()
-                    new, items_now = auto.find(words)
-                    spans.append(_union(had, new))
-                    found.append(sorted({*had_items, *items_now}))
-                    counts.append(len(words))
-                cols = {"hit_spans": pa.array(spans, pa.list_(pa.int32())), "hit_items": pa.array(found, pa.list_(pa.string())), "hit_words": pa.array(counts, pa.int64())}
-                yield pa.RecordBatch.from_arrays([cols.get(c, batch.column(i)) for i, c in enumerate(names)], names=names)
-
-        out = out.mapInArrow(scan, schema)
-    return out
-
-
-def _union(flat: list[int], new: list[tuple[int, int]]) -> list[int]:
-    merged: list[int] = []
-    for a, b in sorted([*zip(flat[::2], flat[1::2], strict=True), *new]):
-        if merged and a <= merged[-1]:
-            merged[-1] = max(merged[-1], b)
+def _union(one: list[tuple[int, int]], other: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    if not one:
+        return other
+    merged: list[tuple[int, int]] = []
+    for a, b in sorted([*one, *other]):
+        if merged and a <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(merged[-1][1], b))
         else:
-            merged += [a, b]
+            merged.append((a, b))
     return merged
 
 
+def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, shard_words: int = 200_000) -> DataFrame:
+    """The documents' rows with hit_spans array<int> (start, end, start, end ... in words), hit_items array<string> and hit_words long (count of words).
+
+    Columns of docs of these names are replaced.
+    """
+    items = _Items(benchmark, item_id, item_text, window, shard_words)
+    rows = carried(docs, text=F.col(text))
+    names = ["hit_spans", "hit_items", "hit_words"]
+    out = rows.select("row", F.array().cast("array<int>").alias(names[0]), F.array().cast("array<string>").alias(names[1]), F.lit(0).cast("long").alias(names[2]))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in items.buffers(batches):
+            texts = [(raw or b"").translate(_FOLD).split() for raw in byte_texts(batch.column(1))]
+            found = items.find(texts)
+            spans = pa.array([[x for span in s for x in span] for s, _ in found], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), spans, pa.array([sorted(n) for _, n in found], pa.list_(pa.string())), pa.array([len(t) for t in texts], pa.int64())], names=["row", *names])
+        give_back()
+
+    return rows.mapInArrow(scan, out.schema).select(*unpacked(docs.columns, **{n: F.col(n) for n in names}))
+
+
 def cut_words(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
     """The text without the words of the spans; a line feed stands where each was."""
     at = [m.span() for m in _WORD.finditer(raw.translate(_FOLD))]
@@ -246,54 +280,28 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
 
     A cut can bring words together that form a window, so it repeats until no row has one. Null texts stay.
     """
-    columns = docs.columns
-    shards = list(_shards(benchmark, item_id, item_text, shard_words))
-    if len(shards) == 1:
-        return _clean_at_once(docs, shards[0], text, window, max_coverage)
-    found = find_hits(docs, benchmark, text, item_id, item_text, window, shard_words)
-    items = [docs.sparkSession.sparkContext.broadcast((f"cut-{id(docs)}-{n}-{hash(tuple(s))}", s)) for n, s in enumerate(shards)]
-    hit = F.aggregate(F.sequence(F.lit(0), F.size("hit_spans") - 2, F.lit(2)), F.lit(0), lambda t, i: t + F.get("hit_spans", i + 1) - F.get("hit_spans", i))
-    found = found.filter((F.size("hit_spans") == 0) | (F.when(F.size("hit_spans") > 0, hit) <= max_coverage * F.col("hit_words")))
-    names = found.columns
-    col = names.index(text)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raws = byte_texts(batch.column(col))
-            for i, flat in enumerate(batch.column(names.index("hit_spans")).to_pylist()):
-                while flat:
-                    raws[i] = cut_words(raws[i], list(zip(flat[::2], flat[1::2], strict=True)))
-                    words, flat = raws[i].translate(_FOLD).split(), []
-                    for shard in items:
-                        flat = _union(flat, _automaton(shard, window).find(words)[0])
-            fixed = pa.array(raws, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([fixed if c == text else batch.column(names.index(c)) for c in columns], names=columns)
-
-    return found.mapInArrow(cut, docs.schema)
-
-
-def _clean_at_once(docs: DataFrame, shard: list[tuple[str | None, bytes]], text: str, window: int, max_coverage: float) -> DataFrame:
-    """The same with one automaton: finding and cutting in one pass, so each task keeps one Python worker."""
-    items = docs.sparkSession.sparkContext.broadcast((f"one-{id(docs)}-{hash(tuple(shard))}", shard))
-    names = docs.columns
-    at = names.index(text)
+    items = _Items(benchmark, item_id, item_text, window, shard_words)
+    rows = carried(docs, text=F.col(text))
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        auto = _automaton(items, window)
-        for batch in batches:
-            raws, kept = byte_texts(batch.column(at)), []
-            for i, raw in enumerate(raws):
-                words = (raw or b"").translate(_FOLD).split()
-                spans = auto.find(words)[0]
-                kept.append(sum(b - a for a, b in spans) <= max_coverage * len(words))
-                while kept[-1] and spans:
-                    raws[i] = cut_words(raws[i], spans)
-                    spans = auto.find(raws[i].translate(_FOLD).split())[0]
+        for batch in items.buffers(batches):
+            raws = byte_texts(batch.column(1))
+            kept, left, first = [True] * len(raws), list(range(len(raws))), True
+            while left:
+                texts = [(raws[i] or b"").translate(_FOLD).split() for i in left]
+                found, again = items.find(texts), []
+                for i, words, (spans, _) in zip(left, texts, found, strict=True):
+                    if first and sum(b - a for a, b in spans) > max_coverage * len(words):
+                        kept[i] = False
+                    elif spans:
+                        raws[i] = cut_words(raws[i], spans)
+                        again.append(i)
+                left, first = again, False
             fixed = pa.array(raws, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([fixed if c == text else batch.column(k) for k, c in enumerate(names)], names=names).filter(pa.array(kept, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), fixed], names=["row", "text"]).filter(pa.array(kept, pa.bool_()))
         give_back()
 
-    return docs.mapInArrow(clean, docs.schema)
+    return rows.mapInArrow(clean, rows.schema).select(*unpacked(docs.columns, **{text: F.col("text")}))
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
