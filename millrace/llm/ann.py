@@ -27,6 +27,8 @@ from millrace.llm.common import materialize
 SAMPLE, MOST_LISTS = 65_536, 8_192
 #: (query, candidate) pairs that a search task holds before it writes them.
 HELD = 1_000_000
+#: Parts that a list's queries are dealt to.
+PARTS = 4
 
 
 def usable(v: Column) -> Column:
@@ -238,9 +240,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
     blocks = F.broadcast(posted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("blocks")))  # one row per list
     pack = F.collect_list(F.struct("id", "vec"))
     posted = posted.join(blocks, "list").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))).groupBy("list", "block").agg(pack.alias("vecs"))
-    queries = max(1, stats.n // (20 * 50_000))
-    asked = asked.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(queries))).groupBy("list", "part").agg(pack.alias("queries"))
-    found = posted.join(asked.hint("shuffle_hash"), "list").select("vecs", "queries").mapInArrow(_search(k), "query_id long, vec_id long, score double")
+    # Every block of a list meets every part of its queries as a pair of its own, so neither a hot list nor a hot region is one task.
+    asked = asked.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(PARTS))).groupBy("list", "part").agg(pack.alias("queries"))
+    asked = asked.join(blocks, "list").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks")
+    found = posted.join(asked.hint("shuffle_hash"), ["list", "block"]).select("vecs", "queries").mapInArrow(_search(k), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     found = found.distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return found.select("query_id", "rank", "vec_id", "score")
