@@ -3,6 +3,8 @@
 Both steps are joins and aggregations of (a, b) rows; nothing is collected. Chains shrink by half or better in each round, and
 stars, which near-duplicate groups are after a pass against group leaders, are done in one. A node with very many neighbours is
 merged on the map side where it is aggregated, and its join partition can be split.
+
+Nulls take no part; equal edges count once; an empty table gives an empty result. Nodes may be of any type with an order.
 """
 
 from __future__ import annotations
@@ -30,4 +32,4 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.coalesce(F.sum("b").cast("string"), F.lit(""))).first())
+    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.coalesce(F.sum(F.xxhash64("b").cast("decimal(20,0)")).cast("string"), F.lit(""))).first())

@@ -26,13 +26,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import byte_texts, give_back, materialize
+from millrace.llm.common import byte_texts, carried, give_back, materialize
 from millrace.llm.components import components
 
 BANDS, ROWS, BITS, SLACK = 40, 5, 4, 5.0
 HASHES = BANDS * ROWS
 #: Shingles of a block; bits of the bitmap that thins out texts, at most.
 BLOCK, BITMAP = 1 << 16, 1 << 27
+#: Groups that copies of one text are dealt to before they meet.
+SALT = 64
 #: Words whose hashes a worker remembers; beyond it, it starts anew.
 CACHE = 500_000
 _rng = np.random.default_rng(20_240_501)
@@ -84,10 +86,16 @@ def signature(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return bands.view(np.int64), packed.view(np.int64)
 
 
+def _small(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
-        for batch in batches:
+        for batch in _small(batches):
             sizes, keys, bands, packed = [], [], [], []
             for raw in byte_texts(batch.column(1)):
                 s = shingles(raw, words, width)
@@ -126,7 +134,7 @@ def estimate(a: Column, b: Column) -> Column:
 def _hashes(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
-        for batch in batches:
+        for batch in _small(batches):
             got = [shingles(raw, words, width).tobytes() for raw in byte_texts(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.binary())], names=["id", "hashes"])
         words.clear()
@@ -149,12 +157,12 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     held = spark.createDataFrame(pa.table({"bits": pa.array([bits], pa.list_(pa.int64()))}))
     word = F.get(held.scalar(), F.shiftright(at, 6).cast("int"))
     some = docs.filter(F.getbit(word, (at % 64).cast("int")) == 1)
-    return materialize(some.join(wanted, "id", "left_semi").distinct().mapInArrow(_hashes(width), "id long, hashes binary"), "full-sets")
+    return materialize(some.join(wanted, "id", "left_semi").distinct().mapInArrow(_hashes(width), f"id {_kind(docs)}, hashes binary"), "full-sets")
 
 
 def _confirmer(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches):
             linked = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -172,7 +180,7 @@ def _stars(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, perc
     likely = materialize(est.filter(estimate(F.col("px"), F.col("py")) >= percent / 100 - _slack(percent)).select("x", "y").distinct(), "pairs")
     sets = _full_sets(docs, likely.select(F.col("x").alias("id")).unionByName(likely.select(F.col("y").alias("id"))).distinct(), width)
     full = likely.join(sets.select(F.col("id").alias("x"), F.col("hashes").alias("sx")), "x").join(sets.select(F.col("id").alias("y"), F.col("hashes").alias("sy")), "y")
-    return materialize(full.select("x", "y", "sx", "sy").mapInArrow(_confirmer(percent), "a long, b long").distinct(), "links")
+    return materialize(full.select("x", "y", "sx", "sy").mapInArrow(_confirmer(percent), f"a {_kind(docs)}, b {_kind(docs)}").distinct(), "links")
 
 
 def _slack(percent: int) -> float:
@@ -183,26 +191,25 @@ def _slack(percent: int) -> float:
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
     """(id, n_shingles, component_id, kept), one row per row of docs."""
-    spark = docs.sparkSession
-    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
-    try:
-        return _classes(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")), width, percent)
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    return _classes(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")), width, percent)
 
 
 def _classes(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    sets = materialize(docs.mapInArrow(_sets(width), "id long, n_shingles long, key binary, bands array<long>, packed array<long>"), "sets")
+    kind = _kind(docs)
+    sets = materialize(docs.mapInArrow(_sets(width), f"id {kind}, n_shingles long, key binary, bands array<long>, packed array<long>"), "sets")
     named = sets.filter("key is not null and id is not null")
-    member = named.groupBy("key").agg(F.min("id").alias("node"))
+    # Copies of one text may be a large share of all rows: they meet in SALT groups first, and these then.
+    named = named.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALT)))
+    part = materialize(named.groupBy("key", "salt").agg(F.min("id").alias("least")), "copies")
+    member = part.join(part.groupBy("key").agg(F.min("least").alias("node")), "key").select("key", "salt", "node")
     # Rows of one id with different sets: their links count for the id, so the id links the sets' nodes too.
-    ids = materialize(named.select("key", "id").join(member, "key").select("id", "node").distinct(), "members")
-    first = member.select("key", F.col("node").alias("id"))
+    ids = materialize(named.select("key", "id", "salt").join(member, ["key", "salt"]).select("key", "id", "node").distinct(), "members")
+    first = ids.filter("id = node").select("key", "id")
     nodes = materialize(named.join(first, ["key", "id"]).select("key", "id", "n_shingles", "bands", "packed").dropDuplicates(["key", "id"]), "nodes")
     banded = nodes.select("id", F.explode("bands").alias("band"))
     leaders = banded.groupBy("band").agg(F.min("id").alias("y"), F.max("id").alias("last")).filter("y < last").drop("last")
-    shared = materialize(banded.join(leaders, "band").select("band", F.col("id").alias("x"), "y").distinct(), "buckets")
+    # No distinct here: it would keep the join from being split where a bucket is large.
+    shared = materialize(banded.join(leaders, "band").select("band", F.col("id").alias("x"), "y"), "buckets")
     links = _stars(shared.filter("x <> y").select("x", "y").distinct(), nodes, docs, width, percent)
     same = ids.filter("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
     found = materialize(components(links.unionByName(same)), "components")
@@ -225,30 +232,28 @@ def _rest(shared: DataFrame, nodes: DataFrame, docs: DataFrame, found: DataFrame
     spans = rows.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("band")
     rows = materialize(rows.join(spans, "band"), "open-buckets")
     sets = _full_sets(docs, rows.select("id").distinct(), width)
-    full = rows.join(nodes.select("id", "n_shingles", "packed").dropDuplicates(["id"]), "id")
+    full = rows.join(nodes.select("id", "n_shingles", "packed"), "id")
     blocks = full.groupBy("band").agg(F.ceil(F.sum("n_shingles") / BLOCK).alias("blocks"))
     full = full.join(sets, "id").join(blocks, "band").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
     held = materialize(full.groupBy("band", "block").agg(F.collect_list(F.struct("id", "c", "packed", "hashes")).alias("held")), "blocks")
     a, b = held.alias("a"), held.alias("b")
     pairs = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.block") <= F.col("b.block"))).select(F.col("a.held").alias("p"), F.col("b.held").alias("q"))
-    spark = docs.sparkSession
-    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
-    try:
-        return materialize(pairs.mapInArrow(_compare(percent), "a long, b long").distinct(), "more-links")
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    return materialize(pairs.mapInArrow(_compare(percent), f"a {_kind(docs)}, b {_kind(docs)}").distinct(), "more-links")
+
+
+def _kind(docs: DataFrame) -> str:
+    return docs.schema["id"].dataType.simpleString()
 
 
 def _compare(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least, chance = percent / 100 - _slack(percent), 2.0**-BITS
-        for batch in batches:
-            a: list[int] = []
-            b: list[int] = []
+        for batch in _small(batches, 4):
+            a: list = []
+            b: list = []
             for r in range(batch.num_rows):
                 p, q = ({k: batch.column(i)[r].values.field(k) for k in ("id", "c", "packed", "hashes")} for i in (0, 1))
-                pc, qc = np.asarray(p["c"]), np.asarray(q["c"])
+                pc, qc = _codes(p["c"], q["c"])
                 ps, qs = (np.asarray(x["packed"].flatten()).view(np.uint64).reshape(len(x["id"]), -1) for x in (p, q))
                 likely = pc[:, None] != qc[None]
                 for k in range(0, len(pc), 128):
@@ -267,20 +272,26 @@ def _compare(percent: int):
                 sizes = np.array([len(s) for s in sets])
                 union = sizes[: len(i), None] + sizes[None, len(i) :] - both
                 x, y = np.nonzero((100 * both >= percent * union) & likely[np.ix_(i, j)])
-                pid, qid = np.asarray(p["id"]), np.asarray(q["id"])
                 joined: dict[int, int] = {}
                 for u, v in zip(i[x].tolist(), j[y].tolist(), strict=True):
                     s, t = _root(joined, int(pc[u])), _root(joined, int(qc[v]))
                     if s != t:
                         joined[s] = t
-                        a.append(int(pid[u]))
-                        b.append(int(qid[v]))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                        a.append(p["id"][u].as_py())
+                        b.append(q["id"][v].as_py())
+            kind = batch.schema.field(0).type.value_type.field("id").type
+            yield pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind)], names=["a", "b"])
         give_back()
 
     return run
 
 
+def _codes(p: pa.Array, q: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers for names of any type."""
+    codes = np.asarray(pa.concat_arrays([p, q]).dictionary_encode().indices)
+    return codes[: len(p)], codes[len(p) :]
+
+
 def _root(joined: dict[int, int], x: int) -> int:
     while x in joined:
         x = joined[x]
@@ -311,8 +322,9 @@ def _intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarra
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
     """The rows of docs that their class keeps: those of the smallest id."""
-    gone = classes(docs, doc_id, text, width, percent).filter("not kept").select(F.col("id").alias("_gone")).distinct()
-    return docs.join(gone, docs[doc_id].cast("long") == F.col("_gone"), "left_anti")
+    gone = classes(docs, doc_id, text, width, percent).filter("not kept").select("id").distinct()
+    rows = carried(docs, own=F.col(doc_id))
+    return rows.join(gone, F.col("own") == F.col("id"), "left_anti").select("row.*")
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -610,6 +610,58 @@ def test_lm_edges(spark):
     assert all(r.base_score == r.score == 0 and r.train_tokens == 0 for r in none)
 
 
+def test_clashing_names(spark):
+    """Columns of the operators' own names stay, or are replaced where they are the result's."""
+    names = "n_lines n_removed _id _bad bad salt score row hit_words hit_items hit_spans base loose found key own gone kept node component_id id n_shingles size target epochs mix_key".split()
+    docs = small_docs(spark, ["a b c d e f g h i j k", "a b c d e f g h i j k"] * 3).select("doc_id", "text", "source", *[F.lit(i).alias(n) for i, n in enumerate(names)])
+    bench = spark.createDataFrame([(1, "a b c"), (2, "d e f g h i j k l m n")], "item_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 0)], "doc_id long, quality int")
+    lines = line_dedup.remove_lines(docs, min_sites=2)
+    assert lines.columns == docs.columns and lines.filter("n_lines > 0").count() and {r.score for r in lines.collect()} == {names.index("score")}
+    assert quality.keep_good(docs, labels).columns == docs.columns
+    assert quality.score(docs, quality.fit(docs, labels)).columns == docs.columns
+    one, many = (decontaminate.remove_spans(docs, bench, max_coverage=0.9, shard_words=n) for n in (200_000, 3))
+    assert one.columns == docs.columns and Counter(map(str, one.collect())) == Counter(map(str, many.collect()))
+    hits = [decontaminate.find_hits(docs, bench, shard_words=n) for n in (200_000, 3)]
+    assert hits[0].columns == docs.columns and Counter(map(str, hits[0].collect())) == Counter(map(str, hits[1].collect()))
+    kept = near_dup.dedup(docs)
+    assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
+    assert pii.mask(docs).columns == mixing.mix(docs).columns == docs.columns
+
+
+def test_text_ids(spark):
+    docs = documents(spark).select(F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 6, "0")).alias("doc_id"), "text")
+    got = near_dup.digest(docs).collect()
+    want = {r.doc_id: r.component_id for r in near_dup.digest(documents(spark)).collect()}
+    assert {r.doc_id: r.component_id for r in got} == {f"d{i:06d}": f"d{c:06d}" for i, c in want.items()}
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select(F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 6, "0")).alias("doc_id"), "quality")
+    assert quality.digest(docs, labels).count() == len(got)
+
+
+def test_near_dup_hot_copies(spark):
+    """A third of all rows is one text, another third one family of near copies."""
+    rng = np.random.default_rng(8)
+    base = [f"w{x}" for x in rng.integers(0, 300, 80)]
+    texts = ["one text that very many rows have in common"] * 300
+    for _ in range(300):
+        w = list(base)
+        w[int(rng.integers(0, 80))] = f"v{rng.integers(0, 9999)}"
+        texts.append(" ".join(w))
+    texts += [" ".join(f"u{x}" for x in rng.integers(0, 5000, 30)) for _ in range(300)]
+    check_near(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+
+
+def test_pipeline_empty(spark, tmp_path):
+    """No document at all, and only null and empty ones."""
+    import corpus_pipeline as p
+
+    few = documents(spark).filter("doc_id < 0").unionByName(documents(spark).limit(2).withColumn("text", F.when(F.col("doc_id") % 2 == 0, F.lit(""))))
+    for docs in (documents(spark).limit(0), few):
+        for name, stage in p.STAGES:
+            docs = stage(spark, docs, SF)
+            assert docs.count() >= 0
+
+
 def test_pipeline_brute(spark):
     """Every stage against plain code on its own input, but for the classifier, whose decisions are taken as given."""
     import corpus_pipeline as p
