@@ -264,10 +264,14 @@ def _leading(spans: Column) -> Column:
     return F.when(F.size(spans) > 0, _let(ordered, among)).otherwise(F.array().cast("array<struct<kind:string,s:int,e:int,at:int>>"))
 
 
-def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(row, base, added): the row of docs as a struct, and array<struct<kind, s, e>>s, base ones by kind and start, added ones by start."""
+def find_spans(docs: DataFrame, text: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """(row, base, added): a struct of the carried columns (all but the text, by default), and array<struct<kind, s, e>>s.
+
+    Base spans are in order of kind and start, added ones in order of start.
+    """
     plain = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.concat(base_spans(plain), _loose_spans(plain)).alias("found"))
+    carry = [c for c in docs.columns if c != text] if carry is None else carry
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.concat(base_spans(plain), _loose_spans(plain)).alias("found"))
     candidates = F.transform("found", lambda x: F.struct(x["kind"].alias("kind"), x["base"].alias("base"), x["s"].alias("s"), x["e"].alias("e"), _votes(x).alias("votes")))
     rows = materialize(rows.select("row", candidates.alias("candidates")), "pii-spans")
     weights = classifier(rows)
@@ -289,7 +293,7 @@ def mask(docs: DataFrame, text: str = "text") -> DataFrame:
 
     both = F.concat("base", "added")
     masked = _let(F.struct(_leading(both).alias("spans"), F.split(plain, "").alias("chars"), F.array_max(F.transform(both, lambda x: x["e"])).alias("end")), cut)
-    return find_spans(docs, text).select(*[(F.when(F.size(both) > 0, masked).otherwise(plain) if c == text else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    return find_spans(docs, text, docs.columns).select(*[(F.when(F.size(both) > 0, masked).otherwise(plain) if c == text else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def digest(docs: DataFrame) -> DataFrame:
