@@ -23,6 +23,9 @@ def ship(spark: SparkSession) -> SparkSession:
                 z.write(p, p.relative_to(top.parent))
         spark.sparkContext.addPyFile(path)
         _shipped.add(app)
+        # Whole texts go to Python workers: smaller batches than Spark's default, unless the session names its own.
+        if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark
 
 
