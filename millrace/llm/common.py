@@ -38,9 +38,10 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def carried(docs: DataFrame, **more: Column) -> DataFrame:
-    """The whole row as one struct `row`, so that no column's name can clash, and more columns beside it."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in more.items()])
+def carried(docs: DataFrame, less: str | None = None, **more: Column) -> DataFrame:
+    """The row (but for the column `less`) as one struct `row`, so that no column's name can clash, and more columns beside it."""
+    fields = [F.col(f"`{c}`") for c in docs.columns if c != less] or [F.lit(0).alias("none")]
+    return docs.select(F.struct(*fields).alias("row"), *[c.alias(n) for n, c in more.items()])
 
 
 def unpacked(columns: list[str], **own: Column) -> list[Column]:

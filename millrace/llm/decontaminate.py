@@ -250,19 +250,19 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id
     Columns of docs of these names are replaced.
     """
     items = _Items(benchmark, item_id, item_text, window, shard_words)
-    rows = carried(docs, text=F.col(text))
+    rows = carried(docs, text, text=F.col(text))
     names = ["hit_spans", "hit_items", "hit_words"]
-    out = rows.select("row", F.array().cast("array<int>").alias(names[0]), F.array().cast("array<string>").alias(names[1]), F.lit(0).cast("long").alias(names[2]))
+    out = rows.select("row", "text", F.array().cast("array<int>").alias(names[0]), F.array().cast("array<string>").alias(names[1]), F.lit(0).cast("long").alias(names[2]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in items.buffers(batches):
             texts = [(raw or b"").translate(_FOLD).split() for raw in byte_texts(batch.column(1))]
             found = items.find(texts)
             spans = pa.array([[x for span in s for x in span] for s, _ in found], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), spans, pa.array([sorted(n) for _, n in found], pa.list_(pa.string())), pa.array([len(t) for t in texts], pa.int64())], names=["row", *names])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), spans, pa.array([sorted(n) for _, n in found], pa.list_(pa.string())), pa.array([len(t) for t in texts], pa.int64())], names=["row", "text", *names])
         give_back()
 
-    return rows.mapInArrow(scan, out.schema).select(*unpacked(docs.columns, **{n: F.col(n) for n in names}))
+    return rows.mapInArrow(scan, out.schema).select(*unpacked(docs.columns, **{n: F.col(n) for n in [text, *names]} | {text: F.col("text")}))
 
 
 def cut_words(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -281,7 +281,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
     A cut can bring words together that form a window, so it repeats until no row has one. Null texts stay.
     """
     items = _Items(benchmark, item_id, item_text, window, shard_words)
-    rows = carried(docs, text=F.col(text))
+    rows = carried(docs, text, text=F.col(text))
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in items.buffers(batches):

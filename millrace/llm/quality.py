@@ -154,18 +154,22 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     return PUModel(_sample(rows.join(F.broadcast(trusted), "id", "left_semi"), SAMPLE), _sample(rows, SAMPLE))
 
 
-def score(docs: DataFrame, model: PUModel, text: str = "text") -> DataFrame:
-    """docs with score (0 to 1) added; a column of docs of that name is replaced."""
-    held, rows = docs.sparkSession.sparkContext.broadcast(model), carried(docs, text=F.col(text))
-    out = rows.select("row", F.lit(0.5).alias("score"))
+def _scored(docs: DataFrame, model: PUModel, text: str) -> DataFrame:
+    """(row, text, score): row is a struct of the other columns."""
+    held, rows = docs.sparkSession.sparkContext.broadcast(model), carried(docs, text, text=F.col(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = np.array([features(raw) for raw in byte_texts(batch.column(1))]).reshape(-1, FEATURES)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held.value.score(x), pa.float64())], names=["row", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(held.value.score(x), pa.float64())], names=["row", "text", "score"])
         give_back()
 
-    return rows.mapInArrow(run, out.schema).select(*unpacked(docs.columns, score=F.col("score")))
+    return rows.mapInArrow(run, rows.withColumn("score", F.lit(0.5)).schema)
+
+
+def score(docs: DataFrame, model: PUModel, text: str = "text") -> DataFrame:
+    """docs with score (0 to 1) added; a column of docs of that name is replaced."""
+    return _scored(docs, model, text).select(*unpacked(docs.columns, **{text: F.col("text"), "score": F.col("score")}))
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -176,5 +180,5 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents, with their columns, that the classifier doesn't reject."""
-    scored = score(carried(docs, text=F.col(text)), fit(docs, labels, doc_id, text))
-    return scored.filter(F.col("score") >= CUT).select("row.*")
+    scored = _scored(docs, fit(docs, labels, doc_id, text), text)
+    return scored.filter(F.col("score") >= CUT).select(*unpacked(docs.columns, **{text: F.col("text")}))
