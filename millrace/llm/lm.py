@@ -254,7 +254,7 @@ class Windows(NamedTuple):
     before: list[np.ndarray]  # nearest first; 0: none
     told: list[np.ndarray]  # counts of the sequences after hot contexts
     hot: np.ndarray  # how many of the contexts are hot
-    base: np.ndarray  # probability without context
+    count: np.ndarray  # in training texts, of the word
 
 
 def _base(t: np.ndarray, model: Model) -> np.ndarray:
@@ -270,7 +270,7 @@ def _keys(before: list[np.ndarray]) -> Iterator[np.ndarray]:
 
 def _after_hot(w: Windows, model: Model, levels: int | None = None) -> np.ndarray:
     """Probabilities after the hot contexts."""
-    p, key = w.base.copy(), np.zeros(len(w.row), np.int64)
+    p, key = _base(w.count, model), np.zeros(len(w.row) if model.hot[:levels] else 0, np.int64)
     for level, (stats, told, before) in enumerate(zip(model.hot[:levels], w.told, w.before, strict=False), 1):
         at = np.flatnonzero(w.hot >= level)
         if not len(at):
@@ -278,7 +278,7 @@ def _after_hot(w: Windows, model: Model, levels: int | None = None) -> np.ndarra
         key[at] = _mix(key[at], before[at])
         i = np.searchsorted(stats.keys, key[at])
         t = told[at]
-        p[at] = np.where(stats.keep[i] & (t >= LEAST), (t - DISCOUNT) / stats.n[i], 0.0) + stats.rest[i] * p[at]
+        p[at] = np.where(stats.keep[i] & (t >= LEAST), (t.astype(float) - DISCOUNT) / stats.n[i], 0.0) + stats.rest[i] * p[at]
     return p
 
 
@@ -308,8 +308,8 @@ class Step:
             b[ok] = name[np.flatnonzero(ok) - k]
             before.append(b)
         told = [np.zeros(n, np.int64) for _ in range(depth)]
-        base = _base(self.t[self.code], model)
-        self.windows = Windows(self.text, self.train[self.text], word, before, told, np.zeros(n, np.int64), base)
+        count = self.t[self.code]
+        self.windows = Windows(self.text, self.train[self.text], word, before, told, np.zeros(n, np.int64), count)
         self.next_hot = np.zeros(n, bool)
         self.next_hot[1:] = (before[0][1:] != 0) & (self.both[self.code[:-1]] > model.limit)
         self.weight = np.zeros(n, np.int64)  # windows of the context that is next
@@ -384,17 +384,24 @@ def _opened(blobs: list[tuple[int, bytes]], model: Model) -> tuple[Windows, list
     parts, top, depth = [], len(model.head.hashes), model.depth
     for step, blob in blobs:
         row, train, *columns, names, counts = _unpack(blob)
-        words = [x.astype(np.int64) for x in columns[: depth + 1]]
-        base = np.where(words[0] > top, 0, model.head.train[np.minimum(words[0], top)])
+        words = [x.view(np.int32) for x in columns[: depth + 1]]
+        count = model.head.train[np.minimum(words[0], top)].astype(np.int32)
         if len(names):
             other = words[0] > top
-            base[other] = counts[words[0][other] - top - 1]
+            count[other] = counts[words[0][other] - top - 1]
             words = [np.where(x > top, names[np.maximum(x - top - 1, 0)], x) for x in words]
-        parts.append([(step << _ROWS) + np.cumsum(row.astype(np.int64)), train.view(bool), *words, *columns[depth + 1 :], base])
-    row, train, word, *columns, t = [np.concatenate(x) for x in zip(*parts, strict=True)]
+        parts.append([(step << _ROWS) + np.cumsum(row.astype(np.int64)), train.view(bool), *words, *columns[depth + 1 :], count])
+    sizes = np.array([len(p[0]) for p in parts])
+    none = np.broadcast_to(np.int64(0), sizes.sum())
+    columns = []
+    for k in range(len(parts[0])):  # one at a time, each given back when it is copied
+        own = [p[k] for p in parts]
+        columns.append(np.concatenate(own) if any(x.any() for x in own) else none)
+        for p in parts:
+            p[k] = None
+    row, train, word, *columns, t = columns
     before, hot, told, more = columns[:depth], columns[depth], columns[depth + 1 : 2 * depth + 1], columns[2 * depth + 1 :]
-    told = [x.astype(np.int64) for x in told]
-    return Windows(row, train, word, before, told, hot.astype(np.int64), _base(t, model)), more, np.array([len(p[0]) for p in parts])
+    return Windows(row, train, word, before, told, hot, t), more, sizes
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[int, bytes]]]]:
@@ -527,37 +534,43 @@ def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     x = key[order]
     new = np.ones(len(x), bool)
     new[1:] = x[1:] != x[:-1]
-    return order, np.flatnonzero(new), np.cumsum(new) - 1
+    return order, np.flatnonzero(new), np.cumsum(new, dtype=np.int32) - np.int32(1)
 
 
 def _paired(ctx: np.ndarray, word: np.ndarray) -> np.ndarray:
     """One number for a context's and a word's."""
     if len(word) and (word.min() < 0 or word.max() >= 1 << 31):
         word = np.unique(word, return_inverse=True)[1]
-    return ctx << 32 | word
+    key = ctx.astype(np.int64)
+    key <<= 32
+    key |= word
+    return key
 
 
 def subtree(w: Windows, model: Model) -> np.ndarray:
     """Logarithm of each window's probability over that without context. All windows of the contexts that aren't hot are here."""
     p = _after_hot(w, model)
-    at, ctx = np.arange(len(w.row)), np.zeros(len(w.row), np.int64)
+    at = np.arange(len(w.row), dtype=np.int32)
+    ctx = np.zeros(len(at), np.int32)
     for level in range(1, model.depth + 1):
         b = w.before[level - 1][at]
         ok = b != 0
         at, ctx = at[ok], ctx[ok]
         if not len(at):
             break
-        order, start, run = _runs(_paired(ctx, b[ok]))
-        at, ctx = at[order], run
+        order, start, ctx = _runs(_paired(ctx, b[ok]) if level > 1 else b[ok])
+        at = at[order]
+        del b, ok, order
         mine = w.hot[at] < level
         n = np.add.reduceat(w.train[at].astype(np.int64), start)
         # Sequences: the context and the word, of which only those with a number can occur LEAST times.
-        can = np.flatnonzero(mine & (w.word[at] != 0) & (n[ctx] >= LEAST))
+        can = np.flatnonzero(mine & (w.word[at] != 0) & (n[ctx] >= LEAST)).astype(np.int32)
         size = len(start)
         share, rest = np.zeros(len(at)), np.ones(size)
         if len(can):
             order, begin, seq = _runs(_paired(ctx[can], w.word[at[can]]))
             where = can[order]
+            del order
             c = np.add.reduceat(w.train[at[where]].astype(np.int64), begin)
             head = where[begin]
             owner, q, in_it = ctx[head], p[at[head]], c >= LEAST
@@ -571,7 +584,8 @@ def subtree(w: Windows, model: Model) -> np.ndarray:
         p[at] = np.where(mine, share + rest[ctx] * p[at], p[at])
         alive = ~mine | (n[ctx] >= LEAST)
         at, ctx = at[alive], ctx[alive]
-    return np.log10(p / w.base)
+    p /= _base(w.count, model)
+    return np.log10(p, out=p)
 
 
 def _score_buckets(held):
