@@ -42,7 +42,10 @@ def parse_number(c: Column) -> Column:
 
 
 def tokens(c: Column) -> Column:
-    return F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    """Words in small letters; those of scripts without blanks between words as pairs of characters."""
+    words = F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    pairs = lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.length(w) - 1, F.lit(1))), lambda i: F.substring(w, i, F.lit(2)))
+    return F.flatten(F.transform(words, lambda w: F.when(w.rlike("[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7a3\u0e00-\u0e7f]"), pairs(w)).otherwise(F.array(w))))
 
 
 def est_tokens(c: Column) -> Column:
@@ -56,7 +59,7 @@ def text_quality(c: Column) -> Column:
 
 
 def host(url: Column) -> Column:
-    return F.regexp_replace(F.regexp_extract(F.lower(url), r"^[a-z]+://([^/?#:]+)", 1), r"^www\.", "www.")
+    return F.regexp_replace(F.regexp_extract(F.lower(url), r"^[a-z]+://([^/?#:]+)", 1), r"^www\.", "")
 
 
 def locale(url: Column) -> Column:

@@ -11,8 +11,8 @@ from millrace.sources.html import visible_lines
 
 def site_lines(pages: DataFrame) -> DataFrame:
     """(page_id, host, loc, ln, line, link_share, tag)."""
-    where = pages.select("page_id", host(F.col("url")).alias("host"), locale(F.col("url")).alias("loc"))
-    return visible_lines(pages).join(where, "page_id")
+    keyed = pages.select(F.struct("page_id", host(F.col("url")).alias("host"), locale(F.col("url")).alias("loc")).alias("page"), "html")
+    return visible_lines(keyed, "page").select("page.*", "ln", "line", "link_share", "tag")
 
 
 def templates(lines: DataFrame, pages: DataFrame, keys: tuple[str, ...] = ("host",), least_pages: int = 5, share: float = 0.3) -> DataFrame:
@@ -22,15 +22,25 @@ def templates(lines: DataFrame, pages: DataFrame, keys: tuple[str, ...] = ("host
 
 
 def main_content(pages: DataFrame) -> DataFrame:
-    """(page_id, content, n_lines): lines that are in no template of the page's locale, or of its host where the locale has few pages."""
+    """(page_id, content, n_lines): lines that are in no template of the page's locale, or of its host where the locale has few pages.
+
+    Pages are counted once by host, locale and line; the host's counts are sums of its locales'. A page of template lines only has
+    empty content.
+    """
     lines = site_lines(pages)
-    by_locale = templates(lines, pages, ("host", "loc"), 4)
-    by_host = templates(lines, pages, ("host",), 4)
-    few = pages.select(host(F.col("url")).alias("host"), locale(F.col("url")).alias("loc")).groupBy("host", "loc").count().filter("count < 4").select("host", "loc")
-    every = by_locale.unionByName(by_host.join(few, "host").select("host", "loc", "line"))
+    where = pages.select("page_id", host(F.col("url")).alias("host"), locale(F.col("url")).alias("loc")).distinct()
+    sizes = where.groupBy("host", "loc").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.withColumn("all_n", F.sum("n").over(Window.partitionBy("host")))
+    counts = lines.groupBy("host", "loc", "line").agg(F.countDistinct("page_id").alias("k"))
+    # A line of the host counts in each of its locales with few pages, also where it doesn't stand; those can't lose it.
+    counts = counts.withColumn("all_k", F.sum("k").over(Window.partitionBy("host", "line"))).join(sizes, ["host", "loc"])
+    often = lambda k, n: (F.col(n) >= 4) & (F.col(k) >= F.greatest(F.lit(2.0), F.col(n) * 0.3))
+    every = counts.filter(F.when(F.col("n") >= 4, often("k", "n")).otherwise(often("all_k", "all_n"))).select("host", "loc", "line")
     kept = lines.join(every, ["host", "loc", "line"], "left_anti")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ln", "line"))), lambda x: x["line"]), "\n")
-    return kept.groupBy("page_id").agg(text.alias("content"), F.count(F.lit(1)).alias("n_lines"))
+    found = kept.groupBy("page_id").agg(text.alias("content"), F.count(F.lit(1)).alias("n_lines"))
+    found = where.select(F.col("page_id").alias("id")).distinct().join(found, F.col("id").eqNullSafe(F.col("page_id")), "left")
+    return found.select(F.col("id").alias("page_id"), F.coalesce("content", F.lit("")).alias("content"), F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"))
 
 
 def trim_to_prose(lines: DataFrame) -> DataFrame:

@@ -122,7 +122,7 @@ with r as (select doc_id, source, row_number() over (partition by source order b
     # O3: a quarter of every group first, then the smallest.
     "budget_order": """
 with r as (select doc_id, lang, n_chars, row_number() over (partition by lang order by md5(cast(doc_id as varchar(20)))) as k, count(*) over (partition by lang) as n from documents)
-select doc_id, case when k <= greatest(1, floor(0.25 * n)) then 'head' else 'tail' end as part, cast(row_number() over (order by case when k <= greatest(1, floor(0.25 * n)) then 0 else 1 end, case when k <= greatest(1, floor(0.25 * n)) then k else n_chars end, doc_id) as bigint) as place from r""",
+select doc_id, case when k <= greatest(1, case when n % 4 = 2 then 2 * floor((n + 2) / 8) else round(0.25 * n) end) then 'head' else 'tail' end as part, cast(row_number() over (order by case when k <= greatest(1, case when n % 4 = 2 then 2 * floor((n + 2) / 8) else round(0.25 * n) end) then 0 else 1 end, case when k <= greatest(1, case when n % 4 = 2 then 2 * floor((n + 2) / 8) else round(0.25 * n) end) then k else n_chars end, doc_id) as bigint) as place from r""",
     # BM25 of documents for a benchmark item's words, ten best of each.
     "bm25_topk": """
 with tf as (select doc_id, word, count(*) as f from $WORDS$ x group by doc_id, word), dl as (select doc_id, sum(f) as n from tf group by doc_id),
@@ -147,17 +147,17 @@ select user_id, event_id, round(spent, 4) as spent, spent >= 500 as over_cap fro
     # The last status of an id decides whether it is done.
     "resume_done_ids": """
 with r as (select user_id, event_type, row_number() over (partition by user_id order by ts desc, event_id desc) as r from events) select user_id, event_type as last_status from r where r = 1 and event_type <> 'error'""",
-    # Runs of five short lines or more.
+    # Runs of five lines or more of at most six words.
     "link_runs": """
-with lines as $LINES$, short as (select doc_id, ln, ln - row_number() over (partition by doc_id order by ln) as island from lines where length(line) < 60)
-select doc_id, cast(min(ln) as bigint) as first_ln, cast(max(ln) as bigint) as last_ln, cast(count(*) as bigint) as n from short group by doc_id, island having count(*) >= 3""",
+with lines as $LINES$, short as (select doc_id, ln, ln - row_number() over (partition by doc_id order by ln) as island from lines where length(line) - length(replace(line, ' ', '')) < 6)
+select doc_id, cast(min(ln) as bigint) as first_ln, cast(max(ln) as bigint) as last_ln, cast(count(*) as bigint) as n from short group by doc_id, island having count(*) >= 5""",
     # Position by thirds.
     "position_thirds": """
 with lines as $LINES$, p as (select doc_id, 3 * (ln - 1) as x, count(*) over (partition by doc_id) as n from lines)
 select case when x < n then 'start' when x < 2 * n then 'middle' else 'end' end as part, cast(count(*) as bigint) as n from p group by 1""",
     # Batches of 150 sections.
     "section_batches": """
-with lines as $LINES$, b as (select doc_id, cast(floor((row_number() over (partition by doc_id order by ln) - 1) / 3) as bigint) as batch, length(line) as n from lines) select doc_id, batch, cast(count(*) as bigint) as lines, cast(sum(n) as bigint) as chars from b group by doc_id, batch""",
+with lines as $LINES$, b as (select doc_id, cast(floor((row_number() over (partition by doc_id order by ln) - 1) / 150) as bigint) as batch, length(line) as n from lines) select doc_id, batch, cast(count(*) as bigint) as lines, cast(sum(n) as bigint) as chars from b group by doc_id, batch""",
     # The block before, and the characters around.
     "antecedents": """
 with lines as $LINES$ select doc_id, ln, lag(line) over (partition by doc_id order by ln) as before, cast(sum(length(line)) over (partition by doc_id order by ln rows between 2 preceding and 1 following) as bigint) as around from lines""",
