@@ -1,7 +1,8 @@
 """A corpus pipeline of five stages over `documents`: from quality to packed token ids.
 
 Every stage takes (spark, docs, sf_dir), works on all rows its predecessor kept, and returns a DataFrame; all but the last keep the
-columns of documents. Texts that decontamination cuts get a new n_chars. A document mixed in twice is two rows from there on.
+columns of documents. Texts that decontamination or mixing cut get a new n_chars. A document mixed in twice is two rows from there on;
+the last one of a source may hold only the words up to the source's budget.
 """
 
 from __future__ import annotations
@@ -18,6 +19,13 @@ from millrace.session import ship
 ORACLE_SQL = None
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    """n_chars of the text as it is now; that of a null text stays."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.coalesce(F.char_length("text").cast(docs.schema["n_chars"].dataType), "n_chars"))
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs, table(ship(spark), sf_dir, "labels"))
 
@@ -28,12 +36,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    clean = decontaminate.remove_spans(docs, table(ship(spark), sf_dir, "benchmark"))
-    return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
+    return _counted(decontaminate.remove_spans(docs, table(ship(spark), sf_dir, "benchmark")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs)
+    return _counted(mixing.mix(docs))
 
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,10 +50,11 @@ levels as (select *, (sum(source_size) over () * 1.5::double - coalesce(sum(cap)
                      / sum(weight) over (order by cap / weight, rank rows between current row and unbounded following) as level from weighed),
 fixed as (select arg_min(level, (cap / weight, rank)) as level from levels where cap > level * weight),
 goal as (select source, source_size, case when f.level is null then cap else least(cap, f.level * weight) end as target from levels left join fixed f on true),
-running as (select rows.*, goal.source_size, goal.target, sum(size) over (partition by rows.source order by key, doc_id, size rows between unbounded preceding and current row) as until
+running as (select rows.*, goal.source_size, goal.target, cast(round(goal.target) as bigint) as budget,
+                   sum(size) over (partition by rows.source order by key, doc_id, size rows between unbounded preceding and current row) as until
             from rows join goal on rows.source is not distinct from goal.source)
 select doc_id, size, source_size, target,
-       cast(case when size = 0 then 0 else size * least(2, floor(target / source_size) + case when until - size / 2.0 < target - floor(target / source_size) * source_size then 1 else 0 end) end as bigint) as taken
+       cast(case when size = 0 then 0 else size * (budget // source_size) + greatest(0, least(size, budget % source_size - until + size)) end as bigint) as taken
 from running
 """
 
