@@ -207,10 +207,11 @@ select p_partkey, cast(size(array_intersect(a, b)) as bigint) as same, array_joi
         """with s as (select p_partkey, string_split(lower(p_type), ' ') as a, string_split(lower(p_name), ' ') as b from part)
 select p_partkey, cast(len(list_intersect(a, b)) as bigint) as same, coalesce(array_to_string(list_sort(list_distinct(list_filter(a, lambda x: not list_contains(b, x)))), ' '), '') as rest from s""",
     ),
-    # Five nearest by cosine, in double precision, of every fiftieth vector.
+    # Five nearest by cosine, in double precision, of every fiftieth vector. Queries are dealt to 16 blocks, which all rows meet in turn.
     "cosine_topk": (
-        """with q as (select /*+ BROADCAST */ vec_id as qid, transform(embedding, x -> cast(x as double)) as qe from embeddings where vec_id % 50 = 0), e as (select vec_id, transform(embedding, x -> cast(x as double)) as v from embeddings),
-s as (select qid, vec_id, round(aggregate(zip_with(qe, v, (x, y) -> x * y), 0d, (a, x) -> a + x) / sqrt(aggregate(qe, 0d, (a, x) -> a + x * x) * aggregate(v, 0d, (a, x) -> a + x * x)), 6) as score from q join e on qid <> vec_id),
+        """with q as (select pmod(hash(vec_id), 16) as block, vec_id as qid, transform(embedding, x -> cast(x as double)) as qe from embeddings where vec_id % 50 = 0),
+e as (select vec_id, transform(embedding, x -> cast(x as double)) as v, explode(sequence(0, 15)) as block from embeddings),
+s as (select qid, vec_id, round(aggregate(zip_with(qe, v, (x, y) -> x * y), 0d, (a, x) -> a + x) / sqrt(aggregate(qe, 0d, (a, x) -> a + x * x) * aggregate(v, 0d, (a, x) -> a + x * x)), 6) as score from q join e on q.block = e.block and qid <> vec_id),
 r as (select *, row_number() over (partition by qid order by score desc, vec_id) as place from s) select qid, vec_id, score, cast(place as bigint) as place from r where place <= 5""",
         """with e as (select vec_id, list_transform(embedding, lambda x: cast(x as double)) as v from embeddings), s as (select a.vec_id as qid, b.vec_id, round(list_cosine_similarity(a.v, b.v), 6) as score from e a join e b on a.vec_id <> b.vec_id and a.vec_id % 50 = 0),
 r as (select *, row_number() over (partition by qid order by score desc, vec_id) as place from s) select qid, vec_id, score, place from r where place <= 5""",

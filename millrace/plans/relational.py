@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -217,12 +218,21 @@ def render(sql: str, dialect: int) -> str:
 
 
 def runner(text: str) -> Callable[[SparkSession, str], DataFrame]:
-    used = [t for t in TABLES if t in text]
+    """The query over a folder's tables; they are named inside it alone, so that a session's own views stay as they are."""
+    used = [t for t in TABLES if re.search(rf"\b{t}\b", text)]
+    recursive, rest = re.fullmatch(r"(?s)\s*(?:with\s+(recursive\s)?)?(.*)", text).groups()
+    follows = ", " if re.match(r"\s*with\b", text) else " "
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        for t in used:
-            spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
-        return spark.sql(text)
+        views = {t: f"millrace_{t}_{uuid.uuid4().hex}" for t in used}
+        for t, view in views.items():
+            spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(view)
+        try:
+            named = ", ".join(f"{t} as (select * from {view})" for t, view in views.items())
+            return spark.sql(f"with {recursive or ''}{named}{follows}{rest}")
+        finally:
+            for view in views.values():
+                spark.catalog.dropTempView(view)
 
     return query
 

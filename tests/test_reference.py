@@ -126,6 +126,13 @@ def canonical(rows):
     return sorted(tuple(f"{v:.6g}" if isinstance(v, float) else str(v) for v in r) for r in rows)
 
 
+def test_views_stay(spark):
+    spark.range(3).createOrReplaceTempView("orders")
+    catalogue.QUERIES["latest_copy"](spark, SF).collect()
+    assert spark.table("orders").columns == ["id"] and [t.name for t in spark.catalog.listTables() if t.name.startswith("millrace_")] == []
+    spark.catalog.dropTempView("orders")
+
+
 @pytest.mark.parametrize("name", sorted(catalogue.ORACLES))
 def test_equals_sql(spark, name):
     con = duckdb.connect()
