@@ -82,12 +82,14 @@ def digest(docs: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
     """The mixed rows with the columns of docs, each as often as it is taken; a source's last row has the words up to its budget."""
-    key = F.struct(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), words_of(F.col(text)).alias("size"))
-    sized = carried(docs, key=key, hash=F.xxhash64(F.col(text)))
-    narrow = materialize(sized.select("key.*"), "mix-sizes")
+    own = {"doc_id": F.col(doc_id), "source": F.col(source), "size": words_of(F.col(text))}
+    # One text as key: window and join then agree on where a row lies, and rows travel once.
+    key_of = lambda **part: F.coalesce(F.to_json(F.struct(*[c.alias(n) for n, c in part.items()])), F.lit(""))
+    sized = carried(docs, key=key_of(**own), hash=F.xxhash64(F.col(text)))
+    narrow = materialize(docs.select(*[c.alias(n) for n, c in own.items()]), "mix-sizes")
     # Rows of one key differ by a copy at most: `more` of them take it whole, and the next one `cut` words of it.
     low = F.min("epochs")
-    chosen = plan(narrow, **options).groupBy(F.struct("doc_id", "source", "size").alias("chosen")).agg(low.alias("low"), (F.sum("epochs") - low * F.count(F.lit(1))).alias("more"), F.max("cut").alias("words"))
+    chosen = plan(narrow, **options).groupBy(key_of(**{n: F.col(n) for n in own}).alias("chosen")).agg(low.alias("low"), (F.sum("epochs") - low * F.count(F.lit(1))).alias("more"), F.max("cut").alias("words"))
     order = F.row_number().over(Window.partitionBy("key").orderBy("hash"))
     rows = sized.withColumn("nth", order).join(chosen, F.col("key") == F.col("chosen"))
     whole = F.col("low") + (F.col("nth") <= F.col("more")).cast("int")
