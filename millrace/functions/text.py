@@ -48,6 +48,11 @@ def tokens(c: Column) -> Column:
     return F.flatten(F.transform(words, lambda w: F.when(w.rlike("[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7a3\u0e00-\u0e7f]"), pairs(w)).otherwise(F.array(w))))
 
 
+def search_tokens(c: Column) -> Column:
+    """Runs of Latin and Cyrillic letters and digits, and signs of degrees, shares and inches, one by one; none of a null text."""
+    return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"[a-z0-9\u00C0-\u024F\u0400-\u04FF]+|[°%″′\"]"), F.lit(0))
+
+
 def est_tokens(c: Column) -> Column:
     return (F.floor(F.length(c) / 3.6) + 1).cast("long")
 

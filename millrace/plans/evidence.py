@@ -117,9 +117,6 @@ select label, cast(docs as bigint) as docs, cast(n as bigint) as n, coalesce(dec
     "entity_votes": """
 with v as (select l_partkey, l_returnflag, count(*) as n, min(l_orderkey) as seen from lineitem group by l_partkey, l_returnflag), r as (select *, row_number() over (partition by l_partkey order by n desc, l_returnflag) as r, min(seen) over (partition by l_partkey) as first_seen from v)
 select l_partkey, l_returnflag as entity_type, cast(n as bigint) as votes, first_seen from r where r = 1""",
-    # O1: priority of pages to be read.
-    "crawl_order": """
-select page_id, cast(row_number() over (order by case when url like '%page=%' then 1 else 0 end, regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1), page_id) as bigint) as place from pages""",
     # Five documents of each source and language at most.
     "source_quota": """
 with r as (select doc_id, source, lang, row_number() over (partition by source, lang order by md5(cast(doc_id as varchar(20)))) as r from documents) select doc_id, source, lang from r where r <= 5""",
@@ -164,10 +161,6 @@ select p_brand, p_type, cast(count(*) as bigint) as n from part where p_size bet
     "response_cache": """
 with e as (select event_id, md5(concat(event_type, ':', cast(user_id as varchar(20)))) as req, value, ts from events), r as (select *, row_number() over (partition by req order by ts, event_id) as r from e)
 select event_id, req, r > 1 as hit from r""",
-    # Calls refused after two failures in a row, for 15 minutes.
-    "circuit_breaker": """
-with e as (select event_id, user_id, ts, event_type = 'error' as bad, lag(event_type) over (partition by user_id order by ts, event_id) = 'error' as bad1, lag(event_type, 2) over (partition by user_id order by ts, event_id) = 'error' as bad2, lag(ts) over (partition by user_id order by ts, event_id) as before from events)
-select event_id, user_id, coalesce(bad1 and bad2 and ts <= before + interval '15' minute, false) as refused from e""",
 }
 
 #: (Spark SQL, DuckDB SQL)

@@ -124,14 +124,6 @@ with r as (select doc_id, source, row_number() over (partition by source order b
     "budget_order": """
 with r as (select doc_id, lang, n_chars, row_number() over (partition by lang order by md5(cast(doc_id as varchar(20)))) as k, count(*) over (partition by lang) as n from documents)
 select doc_id, case when k <= greatest(1, case when n % 4 = 2 then 2 * floor((n + 2) / 8) else round(0.25 * n) end) then 'head' else 'tail' end as part, cast(row_number() over (order by case when k <= greatest(1, case when n % 4 = 2 then 2 * floor((n + 2) / 8) else round(0.25 * n) end) then 0 else 1 end, case when k <= greatest(1, case when n % 4 = 2 then 2 * floor((n + 2) / 8) else round(0.25 * n) end) then k else n_chars end, doc_id) as bigint) as place from r""",
-    # BM25 of documents for a benchmark item's words, ten best of each.
-    "bm25_topk": """
-with tf as (select doc_id, word, count(*) as f from $WORDS$ x group by doc_id, word), dl as (select doc_id, sum(f) as n from tf group by doc_id),
-st as (select count(*) as docs, avg(n) as mean from dl), q as (select 'ndre' as word union all select 'thing' union all select 'ciónado' union all select 'heit'),
-df as (select tf.word, count(*) as k from tf join q on tf.word = q.word group by tf.word),
-sc as (select tf.doc_id, sum(ln((docs - k + 0.5) / (k + 0.5)) * f * 2.5 / (f + 1.5 * (0.25 + 0.75 * n / mean))) as score from tf join df on tf.word = df.word join dl on tf.doc_id = dl.doc_id cross join st group by tf.doc_id),
-r as (select doc_id, score, row_number() over (order by round(score, 9) desc, doc_id) as place from sc where score > 0)
-select doc_id, round(score, 6) as score, cast(place as bigint) as place from r where place <= 10""",
     # AG6: medians and costs by agent.
     "call_stats": """
 select event_type, cast(count(*) as bigint) as n, round(sum(value), 4) as cost, round(percentile_cont(0.5) within group (order by value), 6) as median_value from events group by event_type""",
