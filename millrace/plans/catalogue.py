@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import normal, similarity
 from millrace.operators import chunks, content, dates, evaluation, measurements
-from millrace.plans import evidence, relational, restated
+from millrace.plans import evidence, facts, relational, restated
 from millrace.sources.blocks import blocks
 from millrace.sources.html import page_text, visible_lines
 
@@ -138,5 +138,5 @@ select p_partkey, 'scalar' as kind, 'eq' as comparator, cast(p_size as double) a
 union all select p_partkey, 'bound', 'up_to', cast(p_size as double), 'km/h', round(p_size / 3.6, 4) from part
 union all select p_partkey, 'composite', 'eq', cast(p_size as double), 'mm', round(p_size * 0.001, 4) from part"""
 
-QUERIES = {"score_outcomes": score_outcomes, "score_run": score_run, "score_positions": score_positions, "document_dates": document_dates, "stored_pages": stored_pages, "normal_names": normal_names, "html_blocks": html_blocks, "html_chunks": html_chunks, "text_measurements": text_measurements, "spec_measurements": spec_measurements, "fuzzy_shortlist": fuzzy_shortlist, "main_content": flagship, "page_visible_lines": page_visible_lines, "template_lines": template_lines, "prose_lines": prose_lines} | relational.QUERIES | evidence.QUERIES | restated.QUERIES
-ORACLES = {"score_outcomes": OUTCOME_SQL, "score_run": RUN_SQL, "score_positions": POSITION_SQL, "document_dates": DATE_SQL, "stored_pages": PAGE_SQL, "normal_names": NAME_SQL, "spec_measurements": SHEET_SQL} | relational.ORACLES | evidence.ORACLES | restated.ORACLES
+QUERIES = {"score_outcomes": score_outcomes, "score_run": score_run, "score_positions": score_positions, "document_dates": document_dates, "stored_pages": stored_pages, "normal_names": normal_names, "html_blocks": html_blocks, "html_chunks": html_chunks, "text_measurements": text_measurements, "spec_measurements": spec_measurements, "fuzzy_shortlist": fuzzy_shortlist, "main_content": flagship, "page_visible_lines": page_visible_lines, "template_lines": template_lines, "prose_lines": prose_lines} | relational.QUERIES | evidence.QUERIES | restated.QUERIES | facts.QUERIES
+ORACLES = {"score_outcomes": OUTCOME_SQL, "score_run": RUN_SQL, "score_positions": POSITION_SQL, "document_dates": DATE_SQL, "stored_pages": PAGE_SQL, "normal_names": NAME_SQL, "spec_measurements": SHEET_SQL} | relational.ORACLES | evidence.ORACLES | restated.ORACLES | facts.ORACLES

@@ -11,10 +11,6 @@ with lines as $LINES$ select doc_id, ln, concat(lpad(cast(ln as varchar(20)), ca
     # F8: why a page is not fetched.
     "prefetch_skip": """
 select page_id, case when html is null then 'missing' when html not like '%<%' then 'no_html' when length(html) > 30000000 then 'too_big' else 'ok' end as reason from pages""",
-    # the first gate that stops a fact.
-    "fact_gates": """
-select l_orderkey, l_linenumber, case when o_orderkey is null then 'no_evidence' when l_quantity < 2 then 'placeholder' when l_discount > 0.09 then 'rejected_class' when l_returnflag = 'R' then 'unresolved' else 'accepted' end as gate
-from lineitem left join orders on o_orderkey = l_orderkey and o_orderstatus <> 'P'""",
     # All reasons to review a document, and none else.
     "review_reasons": """
 with r as (select doc_id, concat_ws(',', case when length(trim(text)) = 0 then 'no_text' end, case when n_chars > 20000 then 'large' end, case when lang <> 'en' then 'language' end, case when regexp_extract(text, '[0-9]{5}', 0) <> '' then 'numbers' end) as reasons from documents) select doc_id, reasons from r where reasons <> ''""",
@@ -95,10 +91,6 @@ select l_orderkey, l_linenumber, case when y <> '' then cast(try_cast(concat(y,
     "witness_accuracy": """
 with w as (select o_orderkey, cast(o_orderdate as date) as u, min(cast(l_shipdate as date)) as h, max(cast(l_shipdate as date)) as t from orders join lineitem on l_orderkey = o_orderkey group by o_orderkey, o_orderdate)
 select cast(count(*) as bigint) as n, cast(count(case when h = u then 1 end) as bigint) as h_day, cast(count(case when t = u then 1 end) as bigint) as t_day, cast(count(case when extract(year from h) = extract(year from u) then 1 end) as bigint) as h_year from w""",
-    # Owner by row, else by column, else by section.
-    "structural_owner": """
-select l.l_orderkey, l.l_linenumber, coalesce(p_name, s_name, c_name) as owner, case when p_name is not null then 'row' when s_name is not null then 'column' when c_name is not null then 'section' end as via
-from lineitem l left join part on p_partkey = l_partkey and p_size > 25 left join supplier on s_suppkey = l_suppkey and s_acctbal > 0 left join orders on o_orderkey = l_orderkey left join customer on c_custkey = o_custkey""",
     # What became of values judged missing.
     "recover_status": """
 with e as (select d.doc_id, max(case when l.quality = 1 then 1 else 0 end) as on_page, max(case when l.toxic = 1 then 1 else 0 end) as had from documents d left join labels l on d.doc_id = l.doc_id group by d.doc_id)
@@ -144,10 +136,10 @@ from orders join customer on c_custkey = o_custkey join lineitem on l_orderkey =
     # Lines of the ranges a key names.
     "gold_text": """
 with lines as $LINES$, g as (select doc_id, 2 as a, 4 as b from documents union all select doc_id, 4, 6 from documents) select distinct lines.doc_id, ln, line from lines join g on lines.doc_id = g.doc_id and ln between a and b""",
-    # Documents that hold four fifths of a key's words.
+    # Documents that hold four fifths of a key's distinct words.
     "usable_keys": """
-with k as (select distinct item_id, word from (select item_id, regexp_extract(lower(text), '([a-z]{4,})', 1) as word from benchmark union all select item_id, regexp_extract(lower(text), ' ([a-z]{6,})', 1) from benchmark) x where word <> ''), n as (select item_id, count(*) as n from k group by item_id),
-h as (select item_id, doc_id, count(*) as hit from k join (select distinct doc_id, word from $WORDS$ y) w using (word) group by item_id, doc_id) select h.item_id, doc_id, cast(hit as bigint) as hit, 1.0 * hit / n >= 0.8 as usable from h join n on h.item_id = n.item_id""",
+with k as (select distinct item_id, word from $ITEMWORDS$ x), n as (select item_id, count(*) as n from k group by item_id),
+h as (select item_id, doc_id, count(*) as hit from k join (select distinct doc_id, word from $WORDS$ y) w using (word) group by item_id, doc_id) select h.item_id, doc_id, cast(hit as bigint) as hit, cast(n as bigint) as n from h join n on h.item_id = n.item_id where 5 * hit >= 4 * n""",
     # New dates only where the old ones are missing.
     "backfill_dates": """
 select o_orderkey, cast(coalesce(min(case when l_returnflag = 'R' then cast(l_shipdate as date) end), cast(o_orderdate as date)) as varchar(20)) as day from orders left join lineitem on l_orderkey = o_orderkey group by o_orderkey, o_orderdate""",

@@ -20,6 +20,10 @@ MACROS = {
         "(select doc_id, word from documents lateral view explode(regexp_extract_all(lower(text), r'[\\p{L}\\p{N}]+', 0)) t as word)",
         "(select doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) as word from documents)",
     ),
+    "$ITEMWORDS$": (
+        "(select item_id, word from benchmark lateral view explode(regexp_extract_all(lower(text), r'[\\p{L}\\p{N}]+', 0)) t as word)",
+        "(select item_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) as word from benchmark)",
+    ),
     "$LINEWORDS$": (
         "(select doc_id, ln, word from lines lateral view explode(regexp_extract_all(lower(line), r'[\\p{L}\\p{N}]+', 0)) t as word)",
         "(select doc_id, ln, unnest(regexp_extract_all(lower(line), '[\\p{L}\\p{N}]+')) as word from lines)",
@@ -61,10 +65,6 @@ with sheet as (select p_partkey, concat('Length: ', cast(p_size as varchar(20)),
                union all select p_partkey, concat('Speed: up to ', cast(p_size as varchar(20)), ' km/h'), 'km/h' from part),
 parsed as (select p_partkey, regexp_extract(line, '^([A-Za-z]+):', 1) as label, cast(regexp_extract(line, '([0-9]+)', 1) as double) as v, unit, line like '%up to%' as bound from sheet)
 select p_partkey, label, v, unit, case when bound then 'up_to' else 'exact' end as comparator, round(case unit when 'cm' then v * 0.01 else v / 3.6 end, 6) as base from parsed""",
-    # the first reason that dismisses a candidate value.
-    "inventory_dismissal": """
-with items as (select l_orderkey, l_linenumber, case l_linenumber % 4 when 0 then concat('$', cast(cast(floor(l_extendedprice) as bigint) as varchar(20))) when 1 then cast(cast(l_shipdate as date) as varchar(20)) when 2 then concat('+1 555 ', cast(l_partkey as varchar(20))) else concat(cast(cast(floor(l_quantity) as bigint) as varchar(20)), ' kg') end as t from lineitem)
-select l_orderkey, l_linenumber, t, case when substr(t, 1, 1) = '$' then 'price' when t like '____-__-__' then 'date' when substr(t, 1, 1) = '+' then 'phone' else 'kept' end as reason from items""",
     # Facts and inventory items of one block whose spans overlap; containment apart.
     "span_link": """
 with s as (select l_orderkey as block, l_linenumber as item, l_linenumber * 10 as a, l_linenumber * 10 + cast(l_quantity as int) as b from lineitem)
@@ -78,9 +78,6 @@ select doc, k, legend from c where r = 1""",
     "alias_mapping": """
 with alias as (select 'economy' as a, 'cost_class' as param union all select 'standard', 'cost_class' union all select 'large', 'size_class' union all select 'small', 'size_class' union all select 'promo', 'offer')
 select p_partkey, p_type, param from part join alias on lower(regexp_extract(p_type, '^([A-Za-z]+)', 1)) = a""",
-    # AG13: parameters with more than one value.
-    "param_conflicts": """
-select l_partkey, l_suppkey, cast(count(distinct l_discount) as bigint) as n_values, min(l_discount) as lo, max(l_discount) as hi from lineitem group by l_partkey, l_suppkey having count(distinct l_discount) > 1""",
     # Of equal facts the best, with the number merged.
     "merge_duplicates": """
 with r as (select l_partkey, l_returnflag, l_orderkey, l_linenumber, l_quantity, row_number() over (partition by l_partkey, l_returnflag order by l_quantity desc, l_orderkey, l_linenumber) as r, count(*) over (partition by l_partkey, l_returnflag) as n from lineitem)
@@ -98,10 +95,6 @@ select n_name, cast(count(s_suppkey) as bigint) as parts, round(sum(s_acctbal),
 with lines as $LINES$, v as (select doc_id, case when length(line) < 40 then 'nav' when line like '%.%' then 'main' else 'aside' end as scope, sum(length(line)) as n from lines group by 1, 2),
 t as (select *, sum(n) over (partition by doc_id) as total, row_number() over (partition by doc_id order by n desc, scope) as r, max(case when scope = 'main' then n else 0 end) over (partition by doc_id) as main_n from v)
 select doc_id, case when main_n >= greatest(150, 0.15 * total) then 'main' else scope end as scope from t where r = 1""",
-    # AG10, AG11: the ledger's status of an item, extracted before unresolved before rejected.
-    "ledger_closure": """
-with item as (select l_orderkey, max(case l_returnflag when 'A' then 3 when 'N' then 2 else 1 end) as s, count(*) as n from lineitem group by l_orderkey)
-select case s when 3 then 'extracted' when 2 then 'unresolved' else 'rejected' end as status, o_orderstatus, cast(count(*) as bigint) as items, cast(sum(n) as bigint) as facts from item join orders on o_orderkey = l_orderkey group by 1, 2""",
     # AG5, J13: recall by source, no ratio without labels.
     "eval_recall": """
 select source, cast(count(quality) as bigint) as n, cast(count(case when quality = 1 and length(text) > 400 then 1 end) as bigint) as hit,
@@ -191,10 +184,6 @@ s as (select user_id, sum(fresh) over (partition by user_id order by ts, event_i
     # AG4: counts in a fixed order of buckets, zeros kept.
     "category_buckets": """
 with b as (select 1 as k, 'AUTOMOBILE' as name union all select 2, 'BUILDING' union all select 3, 'MACHINERY' union all select 4, 'AEROSPACE') select k, name, cast(count(c_custkey) as bigint) as n from b left join customer on c_mktsegment = name group by k, name""",
-    # Keys with two labelled rows or more, at least half of their rows.
-    "row_owners": """
-with g as (select l_orderkey, count(*) as n, count(case when l_returnflag = 'N' then 1 end) as k from lineitem group by l_orderkey having count(case when l_returnflag = 'N' then 1 end) >= 2)
-select l.l_orderkey, l.l_linenumber, l.l_partkey from lineitem l join g on l.l_orderkey = g.l_orderkey and 2 * k >= n where l.l_returnflag = 'N'""",
 }
 
 
