@@ -45,6 +45,8 @@ LEAST, DISCOUNT, PENALTY = 2, 0.5, 2.0
 HEAD, HOT = 2_000_000, 1_000_000
 #: Tokens of a step, windows of a bucket on average, and windows that a bucket may get from one context.
 STEP, BUCKET, LIMIT = 1_000_000, 1 << 20, 1 << 22
+#: Windows that a bucket counts at once; only a single context of one word may bring more, LIMIT at most.
+CHUNK = 1 << 19
 #: Words that a worker remembers; beyond it, it starts anew. Groups of steps that sums are collected by.
 CACHE, SLOTS = 400_000, 4096
 SCALE = float(1 << 32)
@@ -547,43 +549,62 @@ def _paired(ctx: np.ndarray, word: np.ndarray) -> np.ndarray:
     return key
 
 
+def _descend(w: Windows, model: Model, p: np.ndarray, level: int, at: np.ndarray, ctx: np.ndarray, whole: bool = False) -> None:
+    """Brings the contexts of that length and of longer ones into p. at: windows whose next shorter contexts, numbered in ctx, occur."""
+    b = w.before[level - 1][at]
+    ok = b != 0
+    if not ok.all():
+        at, ctx, b = at[ok], ctx[ok], b[ok]
+    del ok
+    if len(at) > CHUNK and not whole:  # by the word in front, so that a context stays in one part
+        parts = len(at) // CHUNK + 1
+        part = (((b.astype(np.uint32) * np.uint32(0x9E3779B1)) >> np.uint32(8)) % np.uint32(parts)).astype(np.min_scalar_type(parts))
+        del b
+        own = [at[part == i] for i in range(parts)]
+        ctx = [ctx[part == i] for i in range(parts)]
+        del at, part
+        while own:
+            _descend(w, model, p, level, own.pop(), ctx.pop(), True)
+        return
+    if not len(at):
+        return
+    order, start, ctx = _runs(_paired(ctx, b) if level > 1 else b)
+    at = at[order]
+    del b, order
+    mine = w.hot[at] < level
+    n = np.add.reduceat(w.train[at], start, dtype=np.int64)
+    # Sequences: the context and the word, of which only those with a number can occur LEAST times.
+    can = np.flatnonzero(mine & (w.word[at] != 0) & (n[ctx] >= LEAST)).astype(np.int32)
+    size = len(start)
+    share, rest = np.zeros(len(at)), np.ones(size)
+    if len(can):
+        order, begin, seq = _runs(_paired(ctx[can], w.word[at[can]]))
+        where = can[order]
+        del order
+        c = np.add.reduceat(w.train[at[where]], begin, dtype=np.int64)
+        head = where[begin]
+        owner, q, in_it = ctx[head], p[at[head]], c >= LEAST
+        total = lambda x: np.bincount(owner, x, size)
+        seen, rows = total(c * in_it), total(in_it)
+        g, theirs = total(np.where(in_it, c * np.log(np.maximum(c, 1) / q), 0.0)), total(np.where(in_it, q, 0.0))
+        keep = _worth(n, rows, seen, g, theirs)
+        rest = np.where(keep, 1 - (seen - DISCOUNT * rows) / np.maximum(n, 1), 1.0)
+        cut = np.where(in_it & keep[owner], (c - DISCOUNT) / np.maximum(n[owner], 1), 0.0)
+        share[where] = cut[seq]
+        del can, where, seq, begin, c, head, owner, q, in_it, cut
+    p[at] = np.where(mine, share + rest[ctx] * p[at], p[at])
+    del share
+    if level < model.depth:
+        alive = ~mine | (n[ctx] >= LEAST)
+        at, ctx = at[alive], ctx[alive]
+        del mine, n, rest, alive
+        _descend(w, model, p, level + 1, at, ctx)
+
+
 def subtree(w: Windows, model: Model) -> np.ndarray:
     """Logarithm of each window's probability over that without context. All windows of the contexts that aren't hot are here."""
     p = _after_hot(w, model)
-    at = np.arange(len(w.row), dtype=np.int32)
-    ctx = np.zeros(len(at), np.int32)
-    for level in range(1, model.depth + 1):
-        b = w.before[level - 1][at]
-        ok = b != 0
-        at, ctx = at[ok], ctx[ok]
-        if not len(at):
-            break
-        order, start, ctx = _runs(_paired(ctx, b[ok]) if level > 1 else b[ok])
-        at = at[order]
-        del b, ok, order
-        mine = w.hot[at] < level
-        n = np.add.reduceat(w.train[at].astype(np.int64), start)
-        # Sequences: the context and the word, of which only those with a number can occur LEAST times.
-        can = np.flatnonzero(mine & (w.word[at] != 0) & (n[ctx] >= LEAST)).astype(np.int32)
-        size = len(start)
-        share, rest = np.zeros(len(at)), np.ones(size)
-        if len(can):
-            order, begin, seq = _runs(_paired(ctx[can], w.word[at[can]]))
-            where = can[order]
-            del order
-            c = np.add.reduceat(w.train[at[where]].astype(np.int64), begin)
-            head = where[begin]
-            owner, q, in_it = ctx[head], p[at[head]], c >= LEAST
-            total = lambda x: np.bincount(owner, x, size)  # noqa: B023, E731
-            seen, rows = total(c * in_it), total(in_it)
-            g, theirs = total(np.where(in_it, c * np.log(np.maximum(c, 1) / q), 0.0)), total(np.where(in_it, q, 0.0))
-            keep = _worth(n, rows, seen, g, theirs)
-            rest = np.where(keep, 1 - (seen - DISCOUNT * rows) / np.maximum(n, 1), 1.0)
-            cut = np.where(in_it & keep[owner], (c - DISCOUNT) / np.maximum(n[owner], 1), 0.0)
-            share[where] = cut[seq]
-        p[at] = np.where(mine, share + rest[ctx] * p[at], p[at])
-        alive = ~mine | (n[ctx] >= LEAST)
-        at, ctx = at[alive], ctx[alive]
+    _descend(w, model, p, 1, np.arange(len(w.word), dtype=np.int32), np.zeros(len(w.word), np.int32))
     p /= _base(w.count, model)
     return np.log10(p, out=p)
 

@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from types import SimpleNamespace
@@ -614,6 +615,36 @@ def test_lm_edges(spark):
     assert all(r.base_score == r.score == 0 and r.train_tokens == 0 for r in none)
 
 
+def lm_bucket(n, words=3000):
+    """A bucket whose windows mostly follow one word, and a model whose counts are the bucket's."""
+    rng = np.random.default_rng(5)
+    word, *before = [np.minimum((rng.pareto(0.9, n) * 2).astype(np.int32) + 1, words) for _ in range(4)]
+    before[0] = np.where(np.arange(n) % 5 < 4, np.int32(1), before[0])
+    train = rng.random(n) < 0.85
+    count = np.bincount(word, train, words + 1).astype(np.int64)
+    head = lm.Head(np.arange(1, words + 1), np.arange(1, words + 1, dtype=np.int32), count, count)
+    none = np.broadcast_to(np.int64(0), n)
+    w = lm.Windows(np.zeros(n, np.int32), train, word, before, [none] * 3, none, count[word].astype(np.int32))
+    return w, lm.Model(head, 30 * n, words, 3, 1 << 40, 1, [])
+
+
+def test_lm_bucket_in_parts(monkeypatch):
+    """A context's windows are counted whole whatever the parts, and memory beside the windows is bounded."""
+    w, model = lm_bucket(30_000)
+    want = lm.subtree(w, model)
+    assert np.abs(want).max() > 0.5
+    for chunk in (1, 700, 20_000):
+        monkeypatch.setattr(lm, "CHUNK", chunk, raising=False)
+        np.testing.assert_allclose(lm.subtree(w, model), want, atol=1e-12)
+    w, model = lm_bucket(600_000)
+    monkeypatch.setattr(lm, "CHUNK", 50_000)
+    tracemalloc.start()
+    lm.subtree(w, model)
+    peak = tracemalloc.get_traced_memory()[1] / 600_000
+    tracemalloc.stop()
+    assert peak < 70, f"{peak:.0f} bytes a window"
+
+
 def test_clashing_names(spark):
     """Columns of the operators' own names stay, or are replaced where they are the result's."""
     names = "n_lines n_removed _id _bad bad salt score row hit_words hit_items hit_spans base loose found key own gone kept node component_id id n_shingles size target epochs mix_key".split()
