@@ -26,6 +26,7 @@ Null ids stay null; ids keep their type; other columns aren't read.
 from __future__ import annotations
 
 import pickle
+import struct
 from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -47,8 +48,12 @@ HEAD, HOT = 2_000_000, 1_000_000
 STEP, BUCKET, LIMIT = 1_000_000, 1 << 20, 1 << 22
 #: Windows that a bucket counts at once; only a single context of one word may bring more, LIMIT at most.
 CHUNK = 1 << 19
-#: Words that a worker remembers; beyond it, it starts anew. Groups of steps that sums are collected by.
+#: Rows from which on a blob has a frame for each byte plane.
+PLANES = 1000
+#: Words that a worker remembers; beyond it, it starts anew. Most groups of steps that sums are collected by.
 CACHE, SLOTS = 400_000, 4096
+#: Sums that a worker adds at once.
+SUMS = 1 << 20
 SCALE = float(1 << 32)
 _END, _ROWS = 2, 21
 
@@ -76,6 +81,58 @@ def _unpack(blob: bytes) -> list[np.ndarray]:
     return out
 
 
+_SIZES = struct.Struct("<III")
+
+
+def _pieces(columns: list[np.ndarray], edges: np.ndarray, more: np.ndarray, cuts: np.ndarray) -> Iterator[bytes]:
+    """A blob for the rows between every two edges, with those of `more` (64-bit numbers) between the same two cuts.
+
+    The byte planes are made once for all blobs, so that a blob of few rows costs little. It has a frame for each plane if it is large.
+    """
+    z, planes, used = zstandard.ZstdCompressor(level=1), [], []
+    for x in columns:
+        for plane in np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize).T:
+            used.append(bool(plane.any()))
+            if used[-1]:
+                planes.append(plane)
+    body, mask = np.array(planes, np.uint8).reshape(len(planes), len(columns[0])), np.packbits(used).tobytes()
+    for lo, hi, a, b in zip(edges.tolist(), edges[1:].tolist(), cuts.tolist(), cuts[1:].tolist(), strict=False):
+        if hi - lo < PLANES:
+            frames = [z.compress(body[:, lo:hi].tobytes() + more[a:b].tobytes())]
+        else:
+            frames = [z.compress(x[lo:hi]) for x in body]
+            frames.append(z.compress(more[a:b].tobytes()) if b > a else b"")
+        yield b"".join((_SIZES.pack(hi - lo, (b - a) * more.shape[1], len(frames)), mask, struct.pack(f"<{len(frames)}I", *map(len, frames)), *frames))
+
+
+def _joined(blobs: list[bytes | None], kinds: list[type]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The columns of all blobs, one after the other, each blob's number of rows, and `more`. Blobs are given back on the way."""
+    z, width = zstandard.ZstdDecompressor(), [np.dtype(k).itemsize for k in kinds]
+    plane_of = [(k, i) for k, n in enumerate(width) for i in range(n)]
+    sizes = np.array([_SIZES.unpack_from(x)[0] for x in blobs], np.int64)
+    total, out, more, at = int(sizes.sum()), [None] * len(kinds), [], 0
+    for k, blob in enumerate(blobs):
+        n, m, frames = _SIZES.unpack_from(blob)
+        begin = _SIZES.size + -(-len(plane_of) // 8)
+        mask = np.unpackbits(np.frombuffer(blob, np.uint8, begin - _SIZES.size, _SIZES.size))
+        lengths = struct.unpack_from(f"<{frames}I", blob, begin)
+        begin, parts = begin + 4 * frames, []
+        for length in lengths:
+            parts.append(z.decompress(blob[begin : begin + length]) if length else b"")
+            begin += length
+        one, used = b"".join(parts) if len(parts) > 1 else parts[0], np.flatnonzero(mask).tolist()
+        for i, plane in enumerate(used):
+            c, j = plane_of[plane]
+            if out[c] is None:
+                out[c] = np.zeros((total, width[c]), np.uint8)
+            out[c][at : at + n, j] = np.frombuffer(one, np.uint8, n, i * n)
+        if m:
+            more.append(np.frombuffer(one, np.int64, m, len(used) * n))
+        at, blobs[k] = at + n, None
+    columns = [np.broadcast_to(np.dtype(k).type(0), total) if x is None else x.reshape(-1).view(k) for k, x in zip(kinds, out, strict=True)]
+    return columns, sizes, np.concatenate(more) if more else np.zeros(0, np.int64)
+
+
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """64-bit hash of two numbers."""
     x = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -245,18 +302,24 @@ class Model(NamedTuple):
     limit: int
     buckets: int
     hot: list[Hot]
+    asks: tuple[int, ...] = ()  # by length of hot contexts, the number of buckets of the questions
 
 
 class Windows(NamedTuple):
-    """Tokens with what stands before them; words as numbers that mean the same everywhere (ranks, or hashes of others)."""
+    """Tokens with what stands before them. Words are ranks, or for others: in a step their hashes, in a bucket numbers behind all ranks."""
 
-    row: np.ndarray  # of the text
+    row: np.ndarray  # of the text; in a bucket the distance to that of the window before, from 0 in each blob
     train: np.ndarray
     word: np.ndarray  # 0: occurs less than LEAST times
     before: list[np.ndarray]  # nearest first; 0: none
     told: list[np.ndarray]  # counts of the sequences after hot contexts
     hot: np.ndarray  # how many of the contexts are hot
     count: np.ndarray  # in training texts, of the word
+    names: np.ndarray = np.zeros(0, np.int64)  # in a bucket, the others' hashes
+
+    def named(self, words: np.ndarray, top: int) -> np.ndarray:
+        """Words as numbers that mean the same everywhere."""
+        return np.where(words > top, self.names[np.maximum(words - top - 1, 0)], words) if len(self.names) else words
 
 
 def _base(t: np.ndarray, model: Model) -> np.ndarray:
@@ -277,7 +340,7 @@ def _after_hot(w: Windows, model: Model, levels: int | None = None) -> np.ndarra
         at = np.flatnonzero(w.hot >= level)
         if not len(at):
             break
-        key[at] = _mix(key[at], before[at])
+        key[at] = _mix(key[at], w.named(before[at], len(model.head.hashes)))
         i = np.searchsorted(stats.keys, key[at])
         t = told[at]
         p[at] = np.where(stats.keep[i] & (t >= LEAST), (t.astype(float) - DISCOUNT) / stats.n[i], 0.0) + stats.rest[i] * p[at]
@@ -338,7 +401,7 @@ class Step:
         first = at[first]
         spread = 1 + self.weight[first] // BUCKET
         part = np.abs(_mix(self.windows.word[first], np.full(1, 77))) % spread
-        bucket = _bucket_of(_mix(self.key(level)[first], part), self.model.buckets)
+        bucket = _bucket_of(_mix(self.key(level)[first], part), self.model.asks[level - 1])
         order = np.lexsort((self.windows.word[first], self.windows.before[0][first], bucket))
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
@@ -349,9 +412,11 @@ class Step:
     def _tell(self, replies: list[dict]) -> None:
         first, bucket, _, _, which, level = self.asked()
         t, a = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
-        for reply in replies:
-            lo, hi = np.searchsorted(bucket, [reply["bucket"], reply["bucket"] + 1])
-            t[lo:hi], a[lo:hi] = _unpack(reply["blob"])
+        if replies:
+            (told_t, told_a), sizes, _ = _joined([reply["blob"] for reply in replies], [np.uint32, np.uint32])
+            begin = np.searchsorted(bucket, [reply["bucket"] for reply in replies])
+            at = np.arange(len(told_t)) + np.repeat(begin - np.cumsum(sizes) + sizes, sizes)
+            t[at], a[at] = told_t, told_a
         at = np.flatnonzero(self.next_hot)
         self.windows.told[level - 1][at] = t[which]
         self.windows.hot[at] = level
@@ -365,45 +430,41 @@ class Step:
             self.weight[go] = [weight[i - 1] for i in go.tolist()]
 
     def packed(self, at: np.ndarray, bucket: np.ndarray, more: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
-        """(bucket, blob) of the windows at positions; bucket is sorted. Other words than ranks go with their counts."""
+        """(bucket, blob) of the windows at positions; bucket is sorted. Other words than ranks go as hashes with their counts."""
+        if not len(at):
+            return
         w, top = self.windows, len(self.model.head.hashes)
-        words = [np.where(x[at] == 0, 0, self.code[at - k]) for k, x in enumerate([w.word, *w.before])]
-        columns = [np.zeros(len(at), np.int64) if more else w.row[at], w.train[at], w.hot[at], *(t[at] for t in w.told), *more]
-        edges = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(bucket) else []
-        for lo, hi in zip(edges, edges[1:], strict=False):
-            own = np.array([x[lo:hi] for x in words])
-            other = np.unique(own[own > top])
-            if len(other):
-                own = np.where(own > top, top + 1 + np.searchsorted(other, own), own)
-            row = np.diff(columns[0][lo:hi], prepend=0)
-            rest = [c[lo:hi] for c in columns[1:]]
-            blob = _pack([row.astype(np.uint32), rest[0].astype(np.uint8), *(x.astype(np.uint32) for x in own), *(x.astype(np.uint32) for x in rest[1:]), self.names[other], self.t[other]])
-            yield int(bucket[lo]), blob
-
-
-def _opened(blobs: list[tuple[int, bytes]], model: Model) -> tuple[Windows, list[np.ndarray], np.ndarray]:
-    """The windows of (step, blob)s, further columns, and each blob's number of windows. Rows are step x 2^21 + text."""
-    parts, top, depth = [], len(model.head.hashes), model.depth
-    for step, blob in blobs:
-        row, train, *columns, names, counts = _unpack(blob)
-        words = [x.view(np.int32) for x in columns[: depth + 1]]
-        count = model.head.train[np.minimum(words[0], top)].astype(np.int32)
-        if len(names):
-            other = words[0] > top
-            count[other] = counts[words[0][other] - top - 1]
-            words = [np.where(x > top, names[np.maximum(x - top - 1, 0)], x) for x in words]
-        parts.append([(step << _ROWS) + np.cumsum(row.astype(np.int64)), train.view(bool), *words, *columns[depth + 1 :], count])
-    sizes = np.array([len(p[0]) for p in parts])
-    none = np.broadcast_to(np.int64(0), sizes.sum())
-    columns = []
-    for k in range(len(parts[0])):  # one at a time, each given back when it is copied
-        own = [p[k] for p in parts]
-        columns.append(np.concatenate(own) if any(x.any() for x in own) else none)
-        for p in parts:
-            p[k] = None
-    row, train, word, *columns, t = columns
-    before, hot, told, more = columns[:depth], columns[depth], columns[depth + 1 : 2 * depth + 1], columns[2 * depth + 1 :]
-    return Windows(row, train, word, before, told, hot, t), more, sizes
+        code = np.array([np.where(x[at] == 0, 0, self.code[at - k]) for k, x in enumerate([w.word, *w.before])])
+        start = np.concatenate(([True], bucket[1:] != bucket[:-1]))
+        edges = np.append(np.flatnonzero(start), len(bucket))
+        text = np.zeros(len(at), np.int64) if more else w.row[at]
+        row = np.where(start, text, np.diff(text, prepend=0))
+        window, k = np.nonzero(code.T > top)
+        other = code[k, window]
+        columns = [w.train[at].view(np.uint8), *np.minimum(code, top + 1), w.hot[at], *(t[at] for t in w.told), *more]
+        columns = [row.astype(np.uint32), columns[0], *(x.astype(np.uint32) for x in columns[1:])]
+        others = np.stack((self.names[other], self.t[other]), 1)
+        yield from zip(bucket[edges[:-1]].tolist(), _pieces(columns, edges, others, np.searchsorted(window, edges)), strict=True)
+
+
+def _opened(blobs: list[tuple[int, bytes]], model: Model, more: int = 0) -> tuple[Windows, list[np.ndarray], np.ndarray]:
+    """The windows of (step, blob)s, further columns, and each blob's number of windows."""
+    top, depth = len(model.head.hashes), model.depth
+    kinds = [np.uint32, np.uint8, *[np.int32] * (depth + 1), np.uint32, *[np.uint32] * (depth + more)]
+    own = [blob for _, blob in blobs]
+    blobs[:] = [(step, None) for step, _ in blobs]
+    (row, train, *columns), sizes, others = _joined(own, kinds)
+    words, hot, told, more = columns[: depth + 1], columns[depth + 1], columns[depth + 2 : 2 * depth + 2], columns[2 * depth + 2 :]
+    count = model.head.train[np.minimum(words[0], top)].astype(np.int32)
+    names = others[::2]
+    if len(others):
+        names, number = np.unique(names, return_inverse=True)
+        window, k = np.nonzero(np.array([x > top for x in words]).T)
+        for i, x in enumerate(words):
+            if (k == i).any():
+                x[window[k == i]] = top + 1 + number[k == i]
+        count[window[k == 0]] = others[1::2][k == 0]
+    return Windows(row, train.view(bool), words[0], words[1:], told, hot, count, names), more, sizes
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[int, bytes]]]]:
@@ -440,6 +501,7 @@ def _ask(held):
         for s, _ in _each_step(held.value, batches):
             first, bucket, t, a, _, _ = s.asked()
             yield _blobs([(b, s.step, blob) for b, blob in s.packed(first, bucket, [t, a])])
+            del s, first, bucket, t, a
         give_back()
 
     return run
@@ -452,9 +514,9 @@ def _answer(held):
         model: Model = held.value
         level = len(model.hot) + 1
         for bucket, blobs in _gathered(batches):
-            w, (t, a), sizes = _opened(blobs, model)
+            w, (t, a), sizes = _opened(blobs, model, 2)
             p = _after_hot(w, model)
-            *_, key = _keys(w.before[:level])
+            *_, key = _keys([w.named(x, len(model.head.hashes)) for x in w.before[:level]])
             _, first, which = np.unique(_mix(key, w.word), return_index=True, return_inverse=True)
             t, a = (np.bincount(which, x, len(first)).astype(np.int64) for x in (t, a))
             keys, c = np.unique(key[first], return_inverse=True)
@@ -463,14 +525,15 @@ def _answer(held):
             t, a = (np.where(w.word[first] != 0, x, 0) for x in (t, a))
             most = np.zeros(len(keys), np.int64)
             np.maximum.at(most, c, a)
-            ends = np.cumsum(sizes)
-            rows = [(step, _pack([t[which[e - n : e]], a[which[e - n : e]]])) for (step, _), n, e in zip(blobs, sizes, ends, strict=True)]
+            edges = np.concatenate(([0], np.cumsum(sizes)))
+            replies = _pieces([t[which].astype(np.uint32), a[which].astype(np.uint32)], edges, np.zeros((0, 1), np.int64), np.zeros_like(edges))
+            rows = [(step, blob) for (step, _), blob in zip(blobs, replies, strict=True)]
             in_it, q = t >= LEAST, p[first]
-            stats = [most, n, total(in_it), total(t * in_it), total(np.where(in_it, t * np.log(np.maximum(t, 1) / q), 0.0)), total(np.where(in_it, q, 0.0))]
+            stats = [most, total(np.where(a > model.limit, a, 0)), n, total(in_it), total(t * in_it), total(np.where(in_it, t * np.log(np.maximum(t, 1) / q), 0.0)), total(np.where(in_it, q, 0.0))]
             m, k = len(rows), len(keys)
             columns = [pa.array([bucket] * m + [None] * k, pa.int64()), pa.array([r[0] for r in rows] + [None] * k, pa.int64()), pa.array([r[1] for r in rows] + [None] * k, pa.binary()), pa.array([None] * m + keys.tolist(), pa.int64())]
             columns += [pa.array([None] * m + x.astype(float).tolist(), pa.float64()) for x in stats]
-            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "step", "blob", "key", "most", "n", "rows", "seen", "g", "theirs"])
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "step", "blob", "key", "most", "heavy", "n", "rows", "seen", "g", "theirs"])
         give_back()
 
     return run
@@ -488,16 +551,20 @@ def _tell_hot(coded: DataFrame, model: Model) -> tuple[DataFrame, Model, bool]:
     """One length more of hot contexts: steps with their answers, the contexts' statistics, and whether there are longer ones."""
     level, sc = len(model.hot) + 1, coded.sparkSession.sparkContext
     held = sc.broadcast(model)
-    asked = coded.drop("id").mapInArrow(_ask(held), _BLOBS).repartition(_parts(model), "bucket").sortWithinPartitions("bucket")
-    got = materialize(asked.mapInArrow(_answer(held), f"{_BLOBS}, key long, most double, n double, rows double, seen double, g double, theirs double"), "lm-hot")
-    sums = got.filter("key is not null").groupBy("key").agg(F.max("most"), *[F.sum(c) for c in ("n", "rows", "seen", "g", "theirs")]).toArrow()
+    asked = coded.drop("id").mapInArrow(_ask(held), _BLOBS).repartition(min(model.asks[level - 1], 20_000), "bucket").sortWithinPartitions("bucket")
+    got = materialize(asked.mapInArrow(_answer(held), f"{_BLOBS}, key long, most double, heavy double, n double, rows double, seen double, g double, theirs double"), "lm-hot")
+    sums = got.filter("key is not null").groupBy("key").agg(F.max("most"), *[F.sum(c) for c in ("heavy", "n", "rows", "seen", "g", "theirs")]).toArrow()
     order = np.argsort(np.asarray(sums.column(0)))
-    key, most, n, rows, seen, g, theirs = (np.asarray(c)[order] for c in sums.columns)
+    key, most, heavy, n, rows, seen, g, theirs = (np.asarray(c)[order] for c in sums.columns)
     keep = _worth(n, rows, seen, g, theirs)
     hot = Hot(key, n, keep, np.where(keep, 1 - (seen - DISCOUNT * rows) / np.maximum(n, 1), 1.0))
     replies = got.filter("key is null").groupBy("step").agg(F.collect_list(F.struct("bucket", "blob")).alias("_told"))
     told = coded.join(replies, "step", "left").withColumn(f"told{level}", F.coalesce("_told", F.array().cast("array<struct<bucket:bigint,blob:binary>>"))).drop("_told")
-    return materialize(told.select(*coded.columns), "lm-steps"), model._replace(hot=[*model.hot, hot]), bool((most > model.limit).any())
+    return materialize(told.select(*coded.columns), "lm-steps"), model._replace(hot=[*model.hot, hot], asks=(*model.asks, _asks(heavy.sum()))), bool((most > model.limit).any())
+
+
+def _asks(windows: float) -> int:
+    return int(windows) // BUCKET + 1
 
 
 def _parts(model: Model) -> int:
@@ -522,9 +589,9 @@ def _send(held):
                     # Where the contexts end with a hot one, nothing is left to count, and any bucket will do.
                     key[here] = np.where(cold, s.key(min(level + 1, model.depth))[there], _mix(s.key(level)[there], there))
             bucket = _bucket_of(key, model.buckets)
-            order = np.argsort(bucket.astype(np.uint32), kind="stable")
+            order = np.argsort(bucket.astype(np.min_scalar_type(model.buckets)), kind="stable")
             yield _blobs([(b, s.step, blob) for b, blob in s.packed(at[order], bucket[order], [])])
-            del s, w
+            del s, w, at, key, hot, bucket, order
         give_back()
 
     return run
@@ -612,29 +679,54 @@ def subtree(w: Windows, model: Model) -> np.ndarray:
 def _score_buckets(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = held.value
+        slots = _slots(model)
         for _, blobs in _gathered(batches):
-            w, _, _ = _opened(blobs, model)
+            blobs.sort(key=lambda x: x[0])
+            w, _, sizes = _opened(blobs, model)
             gain = np.rint(subtree(w, model) * SCALE).astype(np.int64)
-            some = np.flatnonzero(gain)
-            order, start, _ = _runs(w.row[some])
-            if len(start):
-                gain, row = np.add.reduceat(gain[some][order], start), w.row[some][order][start]
-                slot = (row >> _ROWS) % SLOTS
-                order = np.argsort(slot, kind="stable")
-                gain, row, slot = gain[order], row[order], slot[order]
-                edges = np.flatnonzero(np.concatenate(([True], slot[1:] != slot[:-1], [True])))
-                yield _blobs([(int(slot[a]), 0, _pack([np.diff(row[a:b], prepend=0), gain[a:b]])) for a, b in zip(edges, edges[1:], strict=False)])
+            begin = np.cumsum(sizes) - sizes
+            new = w.row != 0
+            new[begin] = True
+            start = np.flatnonzero(new)  # of a text's windows in a blob
+            gain, own = np.add.reduceat(gain, start), np.searchsorted(start, begin)
+            row = np.cumsum(w.row[start], dtype=np.int64)
+            sizes = np.diff(np.append(own, len(start)))
+            step = np.repeat(np.array([x for x, _ in blobs], np.int64), sizes)
+            row += (step << _ROWS) + np.repeat(w.row[start[own]].astype(np.int64) - row[own], sizes)
+            del w, new, start
+            slot = _bucket_of(_mix(step, np.zeros(1, np.int64)), slots).astype(np.min_scalar_type(slots))
+            slot[gain == 0] = slots
+            order = np.argsort(slot, kind="stable")[: int((gain != 0).sum())]
+            gain, row, slot = gain[order], row[order], slot[order].astype(np.int64)
+            if len(order):
+                new = np.concatenate(([True], slot[1:] != slot[:-1]))
+                edges = np.append(np.flatnonzero(new), len(slot))
+                blobs = _pieces([np.where(new, row, np.diff(row, prepend=0)), gain], edges, np.zeros((0, 1), np.int64), np.zeros_like(edges))
+                yield _blobs([(i, 0, blob) for i, blob in zip(slot[edges[:-1]].tolist(), blobs, strict=True)])
             give_back()
 
     return run
 
 
+def _slots(model: Model) -> int:
+    """Groups of steps that sums are collected by: fewer than buckets, as every bucket has a blob for each."""
+    return min(max(model.buckets // 4, 12), SLOTS)
+
+
 def _sum_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, blobs in _gathered(batches):
-        parts = [_unpack(blob) for _, blob in blobs]
-        row, gain = np.concatenate([np.cumsum(x) for x, _ in parts]), np.concatenate([x for _, x in parts])
-        order, start, _ = _runs(row)
-        yield pa.RecordBatch.from_arrays([pa.array(row[order][start]), pa.array(np.add.reduceat(gain[order], start))], names=["row", "gain"])
+        row = gain = np.zeros(0, np.int64)
+        while blobs:
+            own, n = [], 0
+            while blobs and n < SUMS:  # a few at a time: what is held grows with the texts, not with the buckets
+                own.append(blobs.pop()[1])
+                n += _SIZES.unpack_from(own[-1])[0]
+            (distance, more), sizes, _ = _joined(own, [np.int64, np.int64])
+            begin, sums = np.cumsum(sizes) - sizes, np.cumsum(distance)
+            row = np.concatenate((row, sums + np.repeat(distance[begin] - sums[begin], sizes)))
+            order, start, _ = _runs(row)
+            row, gain = row[order][start], np.add.reduceat(np.concatenate((gain, more))[order], start)
+        yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(gain)], names=["row", "gain"])
 
 
 def _texts(held, names: list[str]):
@@ -681,7 +773,7 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     for level in range(1, depth + 1):
         coded = coded.withColumn(f"told{level}", F.lit(None).cast("array<struct<bucket:bigint,blob:binary>>"))
     limit = max(limit or LIMIT, everything // HOT)
-    model = Model(head, total, distinct, depth, limit, max(1, -(-everything // BUCKET)), [])
+    model = Model(head, total, distinct, depth, limit, max(1, -(-everything // BUCKET)), [], (_asks(head.both[head.both > limit].sum()),))
     hot_next = bool((head.both[1:] > limit).any())
     while hot_next and len(model.hot) < depth:
         coded, model, hot_next = _tell_hot(coded, model)

@@ -645,6 +645,71 @@ def test_lm_bucket_in_parts(monkeypatch):
     assert peak < 70, f"{peak:.0f} bytes a window"
 
 
+def lm_steps(texts, monkeypatch, parts=1):
+    """Steps of as many partitions, each of all texts, and a model that knows all their words; without Spark."""
+    texts, train = pa.array(texts), pa.array([i % 7 != 2 for i in range(len(texts))])
+    counted = pa.Table.from_batches(lm._count_words(iter([pa.RecordBatch.from_arrays([texts, train], names=["text", "train"])]))).group_by("w").aggregate([("t", "sum"), ("a", "sum")])
+    w, t, a = (np.asarray(counted.column(c).combine_chunks()) * (1 if c == "w" else parts) for c in ("w", "t_sum", "a_sum"))
+    order = np.lexsort((w, -a))
+    w, t, a = w[order], t[order], a[order]
+    by_hash, zero = np.argsort(w), np.zeros(1, np.int64)
+    head = lm.Head(w[by_hash], (by_hash + 1).astype(np.int32), np.concatenate((zero, t)), np.concatenate((zero, a)))
+    steps = []
+    for k in range(parts):
+        monkeypatch.setattr(lm, "TaskContext", SimpleNamespace(get=lambda k=k: SimpleNamespace(partitionId=lambda: k)))
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), texts, train], names=["id", "text", "train"])
+        for step in lm._write_steps(SimpleNamespace(value=(head, True)), "step id size train codes other other_t other_a".split())(iter([batch])):
+            for level in (1, 2, 3):
+                step = step.append_column(f"told{level}", pa.nulls(1))
+            steps.append(step)
+    return steps, lm.Model(head, int(t.sum()), int((t > 0).sum()), 3, 1 << 40, 1, [])
+
+
+def lm_sent(steps, model):
+    return [row for batch in lm._send(SimpleNamespace(value=model))(iter(steps)) for row in batch.to_pylist()]
+
+
+def test_lm_many_buckets(spark, monkeypatch):
+    """On a larger table a step's windows go to more buckets, a few to each: neither bytes nor time may grow much with it."""
+    texts = [r.text for r in documents(spark).select("text").collect()]
+    steps, model = lm_steps(texts, monkeypatch)
+    (before,) = (lm.Step(model, s.to_pylist()[0]).windows.before[0] for s in steps)
+    windows, cost = np.count_nonzero(before), {}
+    for buckets in (8, 900):
+        sent = []
+        began = time.process_time()
+        for _ in range(3):
+            sent = lm_sent(steps, model._replace(buckets=buckets))
+        cost[buckets] = sum(len(r["blob"]) for r in sent), time.process_time() - began
+        opened, _, sizes = lm._opened([(r["step"], r["blob"]) for r in sent], model)
+        assert len(sent) > buckets * 0.7 and sizes.sum() == len(opened.word) == windows
+    assert cost[900][0] < 1.7 * cost[8][0], cost
+    assert cost[900][1] < 2.5 * cost[8][1], cost
+
+
+def test_lm_sums_spread(monkeypatch):
+    """Sums of the steps of all partitions are added in many groups, not in as many as a partition has steps."""
+    steps, model = lm_steps(["a b c a b d", "a b c", "b c a", "c c a b"] * 6, monkeypatch, parts=60)
+    blobs = pa.RecordBatch.from_pylist(lm_sent(steps, model))
+    summed = [r for b in lm._score_buckets(SimpleNamespace(value=model))(iter([blobs])) for r in b.to_pylist()]
+    assert len({r["bucket"] for r in summed}) >= 6
+    monkeypatch.setattr(lm, "SUMS", 50, raising=False)
+    rows = {}
+    for group in sorted({r["bucket"] for r in summed}):
+        own = pa.RecordBatch.from_pylist([r for r in summed if r["bucket"] == group])
+        for b in lm._sum_rows(iter([own, own])):
+            rows |= {r["row"]: r["gain"] for r in b.to_pylist()}
+    assert {r >> 41 for r in rows} == set(range(60))
+    gains = [{r & (1 << 21) - 1: g for r, g in rows.items() if r >> 41 == k} for k in range(60)]
+    assert gains[0] and all(g == gains[0] for g in gains)
+
+
+def test_lm_other_words_without_long_contexts(spark, monkeypatch):
+    monkeypatch.setattr(lm, "HEAD", 1)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["p q", "p r", "p q", None, "", "r"] * 5)], "doc_id long, text string")
+    check_lm(lm.digest(docs).collect(), [(r.doc_id, r.text) for r in docs.collect()])
+
+
 def test_clashing_names(spark):
     """Columns of the operators' own names stay, or are replaced where they are the result's."""
     names = "n_lines n_removed _id _bad bad salt score row hit_words hit_items hit_spans base loose found key own gone kept node component_id id n_shingles size target epochs mix_key".split()
