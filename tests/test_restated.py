@@ -3,10 +3,13 @@
 import datetime as dt
 import random
 
+import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import similarity
-from millrace.operators import lineage, ordering, ranking, spans
+from millrace.operators import lineage, nearest, ordering, ranking, spans
 from millrace.plans import catalogue
 from millrace.streaming.breaker import breaker
 
@@ -96,3 +99,30 @@ def test_ancestors(spark, tmp_path):
     spark.range(600_000).selectExpr("id as c_custkey", "cast(id % 25 as int) as c_nationkey").write.parquet(str(tmp_path / "customer.parquet"))
     spark.range(25).selectExpr("cast(id as int) as n_nationkey", "cast(id % 5 as int) as n_regionkey").write.parquet(str(tmp_path / "nation.parquet"))
     assert catalogue.QUERIES["product_ancestors"](spark, str(tmp_path)).count() == 1_200_025
+
+
+def test_cosine_blocks(spark):
+    draw = random.Random(2)
+    # Copies tie, a vector of zeros has no angle (NaN, before all), and one without numbers or of another length no score (last).
+    some = [[draw.uniform(-1, 1) for _ in range(4)] for _ in range(40)]
+    rows = [(i, some[i % 40]) for i in range(200)] + [(200, None), (201, [1.0]), (202, [1.0, None, 1.0, 1.0]), (None, some[0])]
+    table = spark.createDataFrame(rows, "id long, e array<float>")
+    got = sorted((tuple(r) for r in nearest.cosine(table.filter("id % 50 = 0"), table, query_rows=3, rows=30).collect() if r.score is not None), key=lambda r: (r[0], r[3]))
+    single = {i: np.array(e, dtype=np.float32).astype(float) for i, e in rows[:200]}
+    want = []
+    for q in range(0, 200, 50):
+        cos = sorted((-round(float(single[q] @ v / np.sqrt((single[q] @ single[q]) * (v @ v))), 6), i) for i, v in single.items() if i != q)
+        want += [(q, i, -s, n) for n, (s, i) in enumerate(cos[:5], 1)]
+    assert [(q, i, n) for q, i, _, n in got] == [(q, i, n) for q, i, _, n in want] and [g[2] for g in got] == pytest.approx([w[2] for w in want])
+    few = spark.createDataFrame([(0, [1.0, 2.0]), (1, [0.0, 0.0]), (2, None), (3, [2.0, 4.0]), (4, [1.0])], "id long, e array<float>")
+    assert [(r.vec_id, str(r.score)) for r in nearest.cosine(few.filter("id = 0"), few).orderBy("place").collect()] == [(1, "nan"), (3, "1.0"), (2, "None"), (4, "None")]
+    assert [r.vec_id for r in nearest.cosine(few.filter("id = 2"), few, keep=2).orderBy("place").collect()] == [0, 1]
+    assert nearest.cosine(few.limit(0), few).count() == 0
+
+
+def test_cosine_is_one_product(spark):
+    """Twenty million pairs in the time of matrix products, and no more scores at once than CELLS."""
+    draw = np.random.default_rng(1)
+    table = lambda n: pa.table({"id": pa.array(np.arange(n)), "e": pa.array(list(draw.normal(size=(n, 16)).astype(np.float32)))})
+    schema = pa.schema([("qid", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+    assert nearest.block_nearest(table(1200), table(16384), 5, schema).num_rows == 6000
