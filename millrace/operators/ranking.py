@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import search_tokens
+from millrace.operators.dealing import parts as parts_of
 
 #: Distinct words of queries, summed over queries, up to which they are broadcast: about 30 MB.
 BROADCAST_TERMS = 500_000
@@ -18,8 +19,8 @@ def bm25(docs: DataFrame, queries: DataFrame, doc: str = "doc_id", query: str =
     times the mean weight of all words. Null and empty texts count as one word that no query has; rows that share an id are one text.
     Only words of queries are kept after counting, and each text's counts of them are added up before queries meet.
     """
-    # Texts are dealt by id once; words are counted and lengths added up where they then are.
-    texts = docs.select(F.col(doc).alias("d"), F.col(text).alias("t")).repartition("d").select("d", search_tokens(F.col("t")).alias("ws"))
+    # Texts are dealt by id once, to parts in proportion to their size; words are counted and lengths added up where they then are.
+    texts = docs.select(F.col(doc).alias("d"), F.col(text).alias("t")).repartition(parts_of(docs), "d").select("d", search_tokens(F.col("t")).alias("ws"))
     words = texts.select("d", F.explode(F.when(F.size("ws") > 0, F.col("ws")).otherwise(F.array(F.lit("_")))).alias("w"))
     counts = words.groupBy("d", "w").agg(F.count(F.lit(1)).alias("f")).withColumn("len", F.sum("f").over(Window.partitionBy("d")))
     lengths = words.groupBy("d").agg(F.count(F.lit(1)).alias("len"))

@@ -1,7 +1,9 @@
 """Operators on DataFrames against plain Python."""
 
 import datetime as dt
+import os
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -9,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import similarity
-from millrace.operators import lineage, nearest, ordering, ranking, spans
+from millrace.operators import dealing, lineage, nearest, ordering, ranking, spans
 from millrace.plans import catalogue
 from millrace.streaming.breaker import breaker
 
@@ -126,3 +128,23 @@ def test_cosine_is_one_product(spark):
     table = lambda n: pa.table({"id": pa.array(np.arange(n)), "e": pa.array(list(draw.normal(size=(n, 16)).astype(np.float32)))})
     schema = pa.schema([("qid", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
     assert nearest.block_nearest(table(1200), table(16384), 5, schema).num_rows == 6000
+
+
+def tasks_of(frame):
+    """The shuffles whose number of parts the plan fixes."""
+    return [int(n) for n in re.findall(r"hashpartitioning\([^)]*, (\d+)\), REPARTITION_BY_NUM", frame._jdf.queryExecution().executedPlan().toString())]
+
+
+def shuffles(frame):
+    return frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+@pytest.mark.parametrize("name", ["bm25_topk"])
+def test_parts_grow_with_the_table(spark, monkeypatch, name):
+    sf = "/root/testdata/sf0.001"
+    monkeypatch.setattr(dealing.parts, "__defaults__", (10_000,))
+    frame = catalogue.QUERIES[name](spark, sf)
+    stored = os.path.getsize(f"{sf}/{'lineitem' if name in ('dot_leaders', 'structural_owner') else 'documents'}.parquet")
+    assert -(-stored // 10_000) in tasks_of(frame)
+    if name in ("token_prf", "dot_leaders"):
+        assert shuffles(frame) == 1
