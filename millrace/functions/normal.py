@@ -60,13 +60,14 @@ def unit_words(value: str | None) -> set[str]:
 
 def holds(text: str, part: str) -> bool:
     """Whether the part occurs in the text as a run of whole tokens: no letter or digit goes on at its edges, and no number with a point."""
-    if not part:
+    text = text.replace("_", " ")
+    if not part or part not in text:  # most pairs; a pattern need not be made
         return False
     before = r"(?<!\w)" if part[0].isalnum() else ""
     after = r"(?!\w)" if part[-1].isalnum() else ""
     before += r"(?<!\.)" if part[0].isdigit() else ""
     after += r"(?!\.\d)" if part[-1].isalnum() else ""
-    return re.search(before + re.escape(part) + after, text.replace("_", " ")) is not None
+    return re.search(before + re.escape(part) + after, text) is not None
 
 
 def _column(form):

@@ -10,12 +10,14 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.normal import answer_form, holds, numbers, unit_words
+from millrace.functions import normal
+from millrace.functions.normal import holds
 from millrace.functions.similarity import token_set
 
 KEY = (
@@ -34,6 +36,8 @@ RESULT = (
     f"{','.join(f'{t}:{_TEXT}' for t in TEXTS)},unresolved:{_OPEN}>>,entities:array<struct<entity_id:string,name:string,aliases:array<string>,parent_entity_id:string>>,unattributed:{_OPEN}>"
 )
 _FACT = "array<struct<entity_id:string,value:string,param:string,label:string,status:string,kind:string,ontology_status:string,pages:array<int>>>"
+#: Every key fact of a document meets every value: forms are made once for a text, and a bounded number of them is held.
+answer_form, numbers, unit_words = (lru_cache(maxsize=20_000)(f) for f in (normal.answer_form, normal.numbers, normal.unit_words))
 _SPEED, _PLACE = re.compile(r"km/h|kmh|kph|mph|\bkn\b|\bkt\b|knots|m/s"), re.compile(r"\bkm\b|\bm\b|nm")
 
 
@@ -87,13 +91,18 @@ def value_match(want: dict, value: str | None) -> str | None:
     return "fuzzy" if not need and len(key) >= 6 and token_set(key, got) >= 92 else None
 
 
+@lru_cache(maxsize=20_000)
+def _digits(name: str) -> frozenset[str]:
+    return frozenset(re.findall(r"\d+(?:\.\d+)?", name))
+
+
 def same_product(name: str, other: str) -> bool:
     """Normal forms of a key's and a result's name: equal, one within the other, or nearly so; and no number of the key's is missing."""
     if not name or not other or name == other:
         return bool(name and other)
-    near = (len(name) >= 3 and (name in other or other in name)) or token_set(name, other) >= 92
-    digits = [set(re.findall(r"\d+(?:\.\d+)?", x)) for x in (name, other)]
-    return near and digits[0] <= digits[1]
+    if not _digits(name) <= _digits(other):  # cheaper than the similarity, so it comes first
+        return False
+    return (len(name) >= 3 and (name in other or other in name)) or token_set(name, other) >= 92
 
 
 def parameter_outcome(want: dict, got: dict) -> str:
@@ -193,18 +202,18 @@ def run_totals(judged: DataFrame) -> DataFrame:
     """One row: counts and recall of core and text facts, parameters, share of verbatim matches, and the documents' counts."""
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
     number = lambda c: F.count(F.when(c, 1))
-    documents = judged.agg(F.count(F.lit(1)).alias("documents"), number(F.col("scored")).alias("scored"), *[total(c).alias(c) for c in ("merged", "extras", "others", "violations")])
+    # One pass: a document's own counts stand beside its first fact, or alone.
+    rows = judged.select("scored", "merged", "extras", "others", "violations", F.posexplode_outer("rows").alias("place", "r")).withColumn("own", F.coalesce("place", F.lit(0)) == 0)
+    rows = rows.select("scored", "merged", "extras", "others", "violations", "own", "r.*")
+    columns = [number(F.col("own")).alias("documents"), number(F.col("own") & F.col("scored")).alias("scored"), *[total(F.when(F.col("own"), F.col(c))).alias(c) for c in ("merged", "extras", "others", "violations")]]
     is_in = {"core": F.col("k").isin("spec", "compat", "target"), "text": F.col("k") == "text"}
-    columns = []
-    for name, rows in is_in.items():
-        hit = rows & (F.col("outcome") == "matched")
-        columns += [number(rows).alias(f"{name}_n"), *[number(rows & (F.col("outcome") == o)).alias(f"{name}_{o}") for o in ("matched", "misattributed", "unresolved", "missed")]]
-        columns += [number(rows & (F.col("match") == "via_subsystem")).alias(f"{name}_via_subsystem"), F.round(number(hit) / F.nullif(number(rows), F.lit(0)), 4).alias(f"{name}_recall")]
+    for name, inside in is_in.items():
+        hit = inside & (F.col("outcome") == "matched")
+        columns += [number(inside).alias(f"{name}_n"), *[number(inside & (F.col("outcome") == o)).alias(f"{name}_{o}") for o in ("matched", "misattributed", "unresolved", "missed")]]
+        columns += [number(inside & (F.col("match") == "via_subsystem")).alias(f"{name}_via_subsystem"), F.round(number(hit) / F.nullif(number(inside), F.lit(0)), 4).alias(f"{name}_recall")]
     columns += [number(F.col("param") == p).alias(f"param_{p}") for p in ("correct", "dynamic_ok", "dynamic_other", "wrong_canonical")]
     columns.append(F.round(number(F.col("match").isin("exact", "contains", "alt")) / F.greatest(number(F.col("outcome") == "matched"), F.lit(1)), 4).alias("verbatim_share"))
-    facts = outcomes(judged).agg(*columns)
-    # One row beside one row.
-    return documents.withColumn("one", F.lit(1)).join(facts.withColumn("one", F.lit(1)), "one").drop("one")
+    return rows.agg(*columns)
 
 
 def by_position(judged: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import similarity
-from millrace.operators import dealing, lineage, nearest, ordering, ranking, spans
+from millrace.operators import dealing, evaluation, lineage, nearest, ordering, ranking, spans
 from millrace.plans import catalogue
 from millrace.streaming.breaker import breaker
 
@@ -148,3 +148,20 @@ def test_parts_grow_with_the_table(spark, monkeypatch, name):
     assert -(-stored // 10_000) in tasks_of(frame)
     if name in ("token_prf", "dot_leaders"):
         assert shuffles(frame) == 1
+
+
+def test_totals_judge_once(spark):
+    judged = spark.createDataFrame([], evaluation._JUDGED).mapInArrow(lambda batches: batches, evaluation._JUDGED)
+    assert evaluation.run_totals(judged)._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def test_forms_are_made_once(monkeypatch):
+    """Ten facts against ten values of other products: forms by text, no similarity of names whose numbers differ, no pattern for texts that don't occur."""
+    asked = []
+    monkeypatch.setattr(evaluation, "token_set", lambda a, b: asked.append((a, b)) or 0.0)
+    key = {"products": [{"id": f"P {i}", "name": f"P {i}", "aliases": None} for i in range(10)], "facts": [{"p": f"P {i}", "v": f"9{i} mm", "k": None, "param": None, "alt": None, "any": None, "nums": None, "pos": None, "page": None} for i in range(10)], "negatives": None, "partial": False}
+    theirs = [{"entity_id": f"e{i}", "name": f"P {i}", "aliases": None, "parent_entity_id": None} for i in range(10)]
+    got = [{"entity_id": f"e{i}", "value": f"9{i} mm", "param": None, "label": None, "status": "verified", "kind": "spec", "ontology_status": None, "pages": []} for i in range(10)]
+    evaluation.answer_form.cache_clear()
+    rows = evaluation.judge(key, got, theirs, [])["rows"]
+    assert [r["match"] for r in rows] == ["exact"] * 10 and asked == [] and evaluation.answer_form.cache_info().misses <= 20
