@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import host, locale
+from millrace.operators.dealing import parts
 from millrace.sources.html import visible_lines
 
 
@@ -53,3 +54,18 @@ def trim_to_prose(lines: DataFrame) -> DataFrame:
     link = F.col("link_share") >= 0.5
     drop = (link & (F.col("ln") < F.col("first"))) | (link & (F.col("ln") > F.col("last")) & (F.col("prose_n") >= 200) & (F.col("link_n") < 0.3 * F.col("all_n")))
     return marked.filter(~F.coalesce(drop, F.lit(False))).select(*lines.columns)
+
+
+def run_free_prf(docs: DataFrame) -> DataFrame:
+    """(doc_id, prec, rec, f1): a text's words against those of its lines without runs of equal ones, as multisets, to six places.
+
+    Texts are dealt by id once, to parts in proportion to their size. No word goes over a line's end, so each word of a line counts for the
+    text, and for its run-free form if the line before differs.
+    """
+    texts = docs.filter("doc_id is not null").select("doc_id", "text").repartition(parts(docs), "doc_id")
+    lines = texts.select("doc_id", F.posexplode(F.split("text", "\n")).alias("ln", "line"))
+    first = F.coalesce(F.lag("line").over(Window.partitionBy("doc_id").orderBy("ln")) != F.col("line"), F.lit(True))
+    words = lines.withColumn("first", first).select("doc_id", "first", F.explode(F.regexp_extract_all(F.lower("line"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))).alias("word"))
+    counts = words.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("p"), F.count(F.when(F.col("first"), 1)).alias("g"))
+    sums = counts.groupBy("doc_id").agg(F.sum(F.least("p", "g")).cast("double").alias("hit"), F.sum("p").alias("p"), F.sum("g").alias("g")).filter("g > 0")
+    return sums.select("doc_id", F.round(F.col("hit") / F.col("p"), 6).alias("prec"), F.round(F.col("hit") / F.col("g"), 6).alias("rec"), F.round(2.0 * F.col("hit") / (F.col("p") + F.col("g")), 6).alias("f1"))
