@@ -1,4 +1,4 @@
-"""BM25 of texts for many queries at once."""
+"""Texts for many queries at once: BM25 (O8, Y4), and those that hold a query's words."""
 
 from __future__ import annotations
 
@@ -40,3 +40,20 @@ def bm25(docs: DataFrame, queries: DataFrame, doc: str = "doc_id", query: str =
     some = dealt.withColumn("r", F.row_number().over(Window.partitionBy("q", "deal").orderBy(F.desc("score"), "d"))).filter(F.col("r") <= keep)
     best = some.withColumn("place", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "d"))).filter(F.col("place") <= keep)
     return best.select(F.col("q").alias(query), F.col("d").alias(doc), "score", F.col("place").cast("long").alias("place"))
+
+
+def holding(docs: DataFrame, queries: DataFrame, doc: str = "doc_id", query: str = "item_id", text: str = "text") -> DataFrame:
+    """(query, doc, hit, n): the texts that hold four fifths or more of a query's n distinct words.
+
+    Rows that share an id are one text. Each text's distinct words are dealt by id once; hits are counted and judged where they then are.
+    """
+    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
+    keys = queries.filter(F.col(query).isNotNull()).select(F.col(query).alias("q"), F.explode(words).alias("w")).distinct()
+    keys = keys.join(keys.groupBy("q").agg(F.count(F.lit(1)).alias("n")), "q")
+    asked = keys.select("w").distinct()
+    if keys.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:
+        keys, asked = F.broadcast(keys), F.broadcast(asked)
+    held = docs.select(F.col(doc).alias("d"), words.alias("ws")).repartition(parts_of(docs), "d").select("d", F.explode("ws").alias("w"))
+    met = held.join(asked, "w", "left_semi").select("d", "w").distinct().join(keys, "w")
+    hits = met.groupBy("d", "q").agg(F.count(F.lit(1)).alias("hit"), F.first("n").alias("n")).filter("5 * hit >= 4 * n")
+    return hits.select(F.col("q").alias(query), F.col("d").alias(doc), "hit", "n")

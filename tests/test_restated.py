@@ -139,7 +139,7 @@ def shuffles(frame):
     return frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 
 
-@pytest.mark.parametrize("name", ["bm25_topk", "token_prf"])
+@pytest.mark.parametrize("name", ["bm25_topk", "token_prf", "usable_keys"])
 def test_parts_grow_with_the_table(spark, monkeypatch, name):
     sf = "/root/testdata/sf0.001"
     monkeypatch.setattr(dealing.parts, "__defaults__", (10_000,))
@@ -156,6 +156,13 @@ def test_run_free_prf(spark):
     assert got == {1: (0.6, 1.0, 0.75), 4: (1.0, 1.0, 1.0), 5: (1.0, 1.0, 1.0)}
 
 
+def test_holding(spark):
+    docs = spark.createDataFrame([(1, "a b c d"), (1, "e"), (2, "A B c"), (3, None), (None, "a b c d e")], "doc_id long, text string")
+    asked = spark.createDataFrame([("q", "a b c d e e"), ("r", "z"), (None, "a"), ("s", None)], "item_id string, text string")
+    want = {("q", 1, 5, 5), ("q", None, 5, 5)}
+    assert {tuple(r) for r in ranking.holding(docs, asked).collect()} == want
+
+
 def test_totals_judge_once(spark):
     judged = spark.createDataFrame([], evaluation._JUDGED).mapInArrow(lambda batches: batches, evaluation._JUDGED)
     assert evaluation.run_totals(judged)._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
