@@ -139,7 +139,7 @@ def shuffles(frame):
     return frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 
 
-@pytest.mark.parametrize("name", ["bm25_topk", "token_prf", "usable_keys"])
+@pytest.mark.parametrize("name", ["bm25_topk", "token_prf", "usable_keys", "dot_leaders"])
 def test_parts_grow_with_the_table(spark, monkeypatch, name):
     sf = "/root/testdata/sf0.001"
     monkeypatch.setattr(dealing.parts, "__defaults__", (10_000,))
