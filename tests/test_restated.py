@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import similarity
-from millrace.operators import content, dealing, evaluation, lineage, nearest, ordering, ranking, spans
+from millrace.operators import content, dealing, evaluation, facts, lineage, nearest, ordering, ranking, spans
 from millrace.plans import catalogue
 from millrace.streaming.breaker import breaker
 
@@ -139,7 +139,7 @@ def shuffles(frame):
     return frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 
 
-@pytest.mark.parametrize("name", ["bm25_topk", "token_prf", "usable_keys", "dot_leaders"])
+@pytest.mark.parametrize("name", ["bm25_topk", "token_prf", "dot_leaders", "usable_keys", "structural_owner"])
 def test_parts_grow_with_the_table(spark, monkeypatch, name):
     sf = "/root/testdata/sf0.001"
     monkeypatch.setattr(dealing.parts, "__defaults__", (10_000,))
@@ -178,3 +178,13 @@ def test_forms_are_made_once(monkeypatch):
     evaluation.answer_form.cache_clear()
     rows = evaluation.judge(key, got, theirs, [])["rows"]
     assert [r["match"] for r in rows] == ["exact"] * 10 and asked == [] and evaluation.answer_form.cache_info().misses <= 20
+
+
+def test_structural_owner_meets(spark):
+    evidence = spark.createDataFrame([("d", "f", 0, "b", "s"), ("d", "g", 0, None, None), ("d", "h", 0, "c", "u"), (None, "f", 0, "b", "s"), ("d", "i", 0, "x", "t"), ("d", "i", 1, "b", "s")], "doc_id string, fact_id string, place int, block_id string, section_id string")
+    by_row = spark.createDataFrame([("d", "b", "q"), ("d", "b", "p"), ("d", None, "n"), (None, "b", "n")], "doc_id string, block_id string, owner string")
+    by_column = spark.createDataFrame([("d", "h", "c", "k"), ("d", "f", "b", "k"), ("d", "f", "c", "k")], "doc_id string, fact_id string, block_id string, owner string")
+    sections = spark.createDataFrame([("d", "s", ["o"], "heading"), ("d", "t", ["o"], None), ("d", None, ["o"], None)], "doc_id string, section_id string, owners array<string>, source string")
+    got = facts.structural_owner(evidence, by_row, by_column, sections, 3)
+    assert shuffles(got) == 1
+    assert {tuple(r) for r in got.collect()} == {("d", "f", "p", "table_row"), ("d", "h", "k", "table_column"), ("d", "i", "p", "table_row")}
